@@ -23,24 +23,37 @@ from ledgerlens.functions import lifetime_month
 from ledgerlens.schema import DAYS_PER_MONTH, MAX_LIFETIME
 
 
-def symmetric_log(payments: DataFrame) -> DataFrame:
-    """E5: both orientations of every payment (UNION ALL)."""
-    forward = payments.select("user1", "user2", "datetime")
-    backward = payments.select(
-        F.col("user2").alias("user1"), F.col("user1").alias("user2"), "datetime"
+def both_orientations(df: DataFrame, a: str = "user1", b: str = "user2", *rest: str) -> DataFrame:
+    """Each row twice, as (a, b) and (b, a), from a single scan of ``df``.
+
+    A ``UNION ALL`` of two projections would read the source twice; one
+    ``explode`` over a two-element array reads it once.
+    """
+    pair = F.array(
+        F.struct(F.col(a).alias("user1"), F.col(b).alias("user2")),
+        F.struct(F.col(b).alias("user1"), F.col(a).alias("user2")),
     )
-    return forward.unionByName(backward)
+    return df.select(F.explode(pair).alias("_o"), *rest).select("_o.user1", "_o.user2", *rest)
 
 
-def graph_log(payments: DataFrame) -> DataFrame:
-    """Symmetric log for graph operators: self-loops and null ids dropped."""
-    clean = payments.where(
+def symmetric_log(payments: DataFrame) -> DataFrame:
+    """E5: both orientations of every payment (UNION ALL semantics)."""
+    return both_orientations(payments, "user1", "user2", "datetime")
+
+
+def loop_free(payments: DataFrame) -> DataFrame:
+    """Payments usable as graph edges: self-loops and null ids dropped."""
+    return payments.where(
         F.col("user1").isNotNull()
         & F.col("user2").isNotNull()
         & (F.col("user1") != F.col("user2"))
         & F.col("datetime").isNotNull()
     )
-    return symmetric_log(clean)
+
+
+def graph_log(payments: DataFrame) -> DataFrame:
+    """Symmetric log for graph operators (loop-free)."""
+    return symmetric_log(loop_free(payments))
 
 
 def first_activity(rows: DataFrame) -> DataFrame:

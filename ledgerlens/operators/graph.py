@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import lifetime_month
 from ledgerlens.operators.clock import (
+    both_orientations,
     first_activity,
     graph_log,
+    loop_free,
     lifetime_spine,
     running_window,
     with_clock,
@@ -35,7 +37,7 @@ from ledgerlens.schema import MAX_LIFETIME
 # --------------------------------------------------------------------------
 def friend_pairs(payments: DataFrame) -> DataFrame:
     """Distinct ordered pairs of the symmetric, loop-free graph."""
-    return graph_log(payments).select("user1", "user2").distinct()
+    return pair_first(payments).select("user1", "user2")
 
 
 def friend_list(payments: DataFrame) -> DataFrame:
@@ -71,13 +73,21 @@ def two_hop_only(payments: DataFrame, drop_self: bool = False) -> DataFrame:
 # --------------------------------------------------------------------------
 # First contact per pair (E7, E16) and the spine
 # --------------------------------------------------------------------------
+def undirected_first(payments: DataFrame) -> DataFrame:
+    """First payment time per unordered pair ``a < b`` (either direction)."""
+    clean = loop_free(payments)
+    return clean.groupBy(
+        F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b")
+    ).agg(F.min("datetime").alias("datetime"))
+
+
 def pair_first(payments: DataFrame) -> DataFrame:
     """First payment time per ordered pair of the symmetric log.
 
-    Both orientations of a pair share the same value because the log holds
-    both orientations of every payment.
+    Both orientations of a pair share the value, so it is aggregated once per
+    unordered pair (half the shuffled rows) and then emitted both ways.
     """
-    return graph_log(payments).groupBy("user1", "user2").agg(F.min("datetime").alias("datetime"))
+    return both_orientations(undirected_first(payments), "a", "b", "datetime")
 
 
 def first_edges(payments: DataFrame) -> DataFrame:
@@ -251,9 +261,14 @@ def triangles(payments: DataFrame) -> DataFrame:
     higher one; wedges are pairs of out-edges of one node; a wedge closes if
     its two far ends are joined by an oriented edge.
     """
-    pairs = pair_first(payments)
-    degree = pairs.groupBy("user1").agg(F.count(F.lit(1)).alias("deg"))
-    undirected = pairs.where(F.col("user1") < F.col("user2"))
+    undirected = undirected_first(payments).select(
+        F.col("a").alias("user1"), F.col("b").alias("user2"), "datetime"
+    )
+    degree = (
+        both_orientations(undirected, "user1", "user2")
+        .groupBy("user1")
+        .agg(F.count(F.lit(1)).alias("deg"))
+    )
     d1 = degree.select(F.col("user1").alias("x"), F.col("deg").alias("dx"))
     d2 = degree.select(F.col("user1").alias("y"), F.col("deg").alias("dy"))
     e = (
