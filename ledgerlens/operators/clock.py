@@ -69,9 +69,22 @@ def with_clock(rows: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     )
 
 
+def sender_starts(payments: DataFrame) -> DataFrame:
+    """Sender-clock first day per payer, one DataFrame per log object.
+
+    Every sender-clock operator on the same log uses this same object, so a
+    query that needs it several times computes the aggregate once.
+    """
+    starts = payments.__dict__.get("_ledgerlens_sender_starts")
+    if starts is None:
+        starts = first_activity(payments.select("user1", "datetime"))
+        payments.__dict__["_ledgerlens_sender_starts"] = starts
+    return starts
+
+
 def sender_rows(payments: DataFrame) -> DataFrame:
     """Sender clock on the raw log (every payment type, loops kept)."""
-    return with_clock(payments)
+    return with_clock(payments, sender_starts(payments))
 
 
 def both_rows(payments: DataFrame) -> DataFrame:
@@ -81,7 +94,7 @@ def both_rows(payments: DataFrame) -> DataFrame:
 
 def sender_clock(payments: DataFrame) -> DataFrame:
     """sender-clock rows with ``lifetime_days`` and ``days``."""
-    rows = with_clock(payments.select("user1", "user2", "datetime"))
+    rows = with_clock(payments.select("user1", "user2", "datetime"), sender_starts(payments))
     return rows.select(
         "user1",
         "user2",
@@ -100,20 +113,17 @@ def lifetime_spine(users: DataFrame) -> DataFrame:
 
 
 def sender_spine(payments: DataFrame) -> DataFrame:
-    return lifetime_spine(first_activity(payments.select("user1", "datetime")))
+    return lifetime_spine(sender_starts(payments))
 
 
-def both_spine(payments: DataFrame) -> DataFrame:
-    return lifetime_spine(first_activity(graph_log(payments)))
-
-
-def dual_clock(payments: DataFrame) -> DataFrame:
+def dual_clock(payments: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """both parties' symmetric-clock month per symmetric row.
 
-    Keeps rows whose ``user1_lifetime`` is at most 12.
+    ``starts`` are the symmetric-clock first days (computed here if not
+    given).  Keeps rows whose ``user1_lifetime`` is at most 12.
     """
     rows = graph_log(payments)
-    starts = first_activity(rows)
+    starts = first_activity(rows) if starts is None else starts
     s1 = starts.select("user1", F.col("start_date").alias("user1_start_date"))
     s2 = starts.select(F.col("user1").alias("user2"), F.col("start_date").alias("user2_start_date"))
     out = rows.join(s1, "user1").join(s2, "user2")

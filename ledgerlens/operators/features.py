@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.clock import dual_clock, running_window, sender_clock, sender_spine
-from ledgerlens.operators.graph import cum_friends, cum_fof, cum_triangles, first_met, fof_new
+from ledgerlens.operators.graph import cum_friends, cum_fof, cum_triangles, first_met, fof_new, graph_of
 from ledgerlens.operators.profile import dynamic_profile, running_profile, spending_profile
 from ledgerlens.operators.rank import page_rank
 from ledgerlens.schema import DAYS_PER_MONTH, MAX_LIFETIME, PROFILE_COLUMNS
@@ -120,7 +120,7 @@ def friend_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     The payee's month is on the payee's own clock; months in which the payee
     has no profile row drop (inner join), as in the source analysis.
     """
-    rows = dual_clock(payments).select(
+    rows = dual_clock(payments, graph_of(payments).starts).select(
         "user1", "user2", F.col("user1_lifetime").alias("lifetime"), "user2_lifetime"
     )
     prof = running_profile(payments, dictionary).select(

@@ -16,6 +16,8 @@ Design points for scale:
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +34,81 @@ from ledgerlens.operators.clock import (
 from ledgerlens.schema import MAX_LIFETIME
 
 
+class PaymentGraph:
+    """Intermediates shared by the graph operators of one payment log.
+
+    Each property is one lazily built DataFrame; every operator that needs
+    it uses the same object, so within a query the planner sees identical
+    subtrees and computes each exchange once (exchange reuse) instead of
+    re-reading and re-shuffling the log per operator.
+    """
+
+    def __init__(self, payments: DataFrame):
+        self.payments = payments
+
+    @cached_property
+    def undirected(self) -> DataFrame:
+        """First payment time per unordered pair ``a < b`` (either direction)."""
+        clean = loop_free(self.payments)
+        return clean.groupBy(
+            F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b")
+        ).agg(F.min("datetime").alias("datetime"))
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """First payment time per ordered pair (both orientations share it)."""
+        return both_orientations(self.undirected, "a", "b", "datetime")
+
+    @cached_property
+    def starts(self) -> DataFrame:
+        """Symmetric-clock first day per user (min over the user's pairs)."""
+        return first_activity(self.pairs)
+
+    @cached_property
+    def spine(self) -> DataFrame:
+        return lifetime_spine(self.starts)
+
+    @cached_property
+    def degree(self) -> DataFrame:
+        return self.pairs.groupBy("user1").agg(F.count(F.lit(1)).alias("num_friends"))
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        """E16 rows: lifetime is monotone in datetime, so the first payment's
+        month is the pair's first month; no raw row is joined."""
+        return self.pairs.join(self.starts, "user1").select(
+            "user1",
+            "user2",
+            "datetime",
+            lifetime_month("datetime", "start_date").alias("lifetime"),
+            "start_date",
+        )
+
+    @cached_property
+    def met(self) -> DataFrame:
+        return self.edges.select("user1", "user2", "lifetime")
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """Every symmetric row with its symmetric-clock month."""
+        return with_clock(graph_log(self.payments), self.starts)
+
+
+def graph_of(payments: DataFrame) -> PaymentGraph:
+    """The shared context of ``payments`` (one per DataFrame object)."""
+    g = payments.__dict__.get("_ledgerlens_graph")
+    if g is None:
+        g = PaymentGraph(payments)
+        payments.__dict__["_ledgerlens_graph"] = g
+    return g
+
+
 # --------------------------------------------------------------------------
 # Adjacency
 # --------------------------------------------------------------------------
 def friend_pairs(payments: DataFrame) -> DataFrame:
     """Distinct ordered pairs of the symmetric, loop-free graph."""
-    return pair_first(payments).select("user1", "user2")
+    return graph_of(payments).pairs.select("user1", "user2")
 
 
 def friend_list(payments: DataFrame) -> DataFrame:
@@ -46,11 +117,8 @@ def friend_list(payments: DataFrame) -> DataFrame:
     One row per (user1, friend) rather than one array per user, so a hub's
     adjacency never has to fit in a single row or task.
     """
-    pairs = friend_pairs(payments)
-    degree = pairs.groupBy("user1").agg(F.count(F.lit(1)).alias("num_friends"))
-    return pairs.join(degree, "user1").select(
-        "user1", F.col("user2").alias("friend"), "num_friends"
-    )
+    g = graph_of(payments)
+    return g.pairs.join(g.degree, "user1").select("user1", F.col("user2").alias("friend"), "num_friends")
 
 
 def two_hop(payments: DataFrame) -> DataFrame:
@@ -74,48 +142,31 @@ def two_hop_only(payments: DataFrame, drop_self: bool = False) -> DataFrame:
 # First contact per pair (E7, E16) and the spine
 # --------------------------------------------------------------------------
 def undirected_first(payments: DataFrame) -> DataFrame:
-    """First payment time per unordered pair ``a < b`` (either direction)."""
-    clean = loop_free(payments)
-    return clean.groupBy(
-        F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b")
-    ).agg(F.min("datetime").alias("datetime"))
+    return graph_of(payments).undirected
 
 
 def pair_first(payments: DataFrame) -> DataFrame:
-    """First payment time per ordered pair of the symmetric log.
-
-    Both orientations of a pair share the value, so it is aggregated once per
-    unordered pair (half the shuffled rows) and then emitted both ways.
-    """
-    return both_orientations(undirected_first(payments), "a", "b", "datetime")
+    return graph_of(payments).pairs
 
 
 def first_edges(payments: DataFrame) -> DataFrame:
-    """Per ordered pair — first datetime, its lifetime month, start date.
-
-    ``lifetime`` is monotone in ``datetime`` for a fixed user, so the month of
-    the first payment is the minimum month; the per-user start date is the
-    minimum over the user's pairs.  No raw row is joined.
-    """
-    pairs = pair_first(payments)
-    starts = first_activity(pairs)
-    return pairs.join(starts, "user1").select(
-        "user1",
-        "user2",
-        "datetime",
-        lifetime_month("datetime", "start_date").alias("lifetime"),
-        "start_date",
-    )
+    """Per ordered pair — first datetime, its lifetime month, start date."""
+    return graph_of(payments).edges
 
 
 def first_met(payments: DataFrame) -> DataFrame:
     """First lifetime month in which each ordered pair transacted."""
-    return first_edges(payments).select("user1", "user2", "lifetime")
+    return graph_of(payments).met
 
 
 def graph_spine(payments: DataFrame) -> DataFrame:
     """E8 on the symmetric clock: users of the loop-free graph × 0..12."""
-    return lifetime_spine(first_activity(pair_first(payments)))
+    return graph_of(payments).spine
+
+
+def both_clock_rows(payments: DataFrame) -> DataFrame:
+    """E6 through the shared context."""
+    return graph_of(payments).rows
 
 
 def _count_on_spine(spine: DataFrame, events: DataFrame, name: str) -> DataFrame:
@@ -138,7 +189,8 @@ def _running_sum(panel: DataFrame, col: str, name: str) -> DataFrame:
 # --------------------------------------------------------------------------
 def new_friends(payments: DataFrame) -> DataFrame:
     """Friends first met in each month 0..12 (0 where none)."""
-    return _count_on_spine(graph_spine(payments), first_met(payments), "num_friends")
+    g = graph_of(payments)
+    return _count_on_spine(g.spine, g.met, "num_friends")
 
 
 def cum_friends(payments: DataFrame) -> DataFrame:
@@ -149,40 +201,49 @@ def cum_friends(payments: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # Friends of friends
 # --------------------------------------------------------------------------
-def _second_min(pairs: DataFrame) -> DataFrame:
-    """Per user: the earliest and second-earliest first contact (skew-safe).
+def _runner_up(pairs: DataFrame) -> DataFrame:
+    """Per user, the second-smallest first-contact time (ties count twice).
 
-    ``min(struct(datetime, user2))`` combines map-side; removing the winner
-    and taking the minimum again gives the runner-up.
+    Both aggregates combine map-side, so a hub's contacts never meet in one
+    task as raw rows.
     """
-    first = pairs.groupBy("user1").agg(F.min(F.struct("datetime", "user2")).alias("m1"))
-    rest = pairs.join(
-        first.select("user1", F.col("m1.user2").alias("user2")), ["user1", "user2"], "left_anti"
+    first = pairs.groupBy("user1").agg(F.min("datetime").alias("d1"))
+    second = (
+        pairs.join(first, "user1")
+        .groupBy("user1", "d1")
+        .agg(
+            F.sum(F.when(F.col("datetime") == F.col("d1"), 1).otherwise(0)).alias("at_min"),
+            F.min(F.when(F.col("datetime") > F.col("d1"), F.col("datetime"))).alias("above"),
+        )
     )
-    second = rest.groupBy("user1").agg(F.min(F.struct("datetime", "user2")).alias("m2"))
-    return first.join(second, "user1", "left").select(
+    return second.select(
         F.col("user1").alias("via"),
-        F.col("m1.datetime").alias("d1"),
-        F.col("m1.user2").alias("w1"),
-        F.col("m2.datetime").alias("d2"),
+        F.when(F.col("at_min") >= 2, F.col("d1")).otherwise(F.col("above")).alias("d2"),
     )
 
 
-def fof_first_met(payments: DataFrame) -> DataFrame:
+def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
     """First month (user1's clock) each friend-of-friend was reached.
 
     Time-respecting: the u–v payment must be no earlier than some v–w
-    payment, w ≠ u.  Rows of u whose payment reached nobody form one group
-    with a null ``friend_of_friend`` (as a left outer join would).
+    payment, w ≠ u.  The right side only needs v's first contact with each
+    w; the left side only the last payment per (u, v, month), because a
+    later payment reaches whatever an earlier one does.
+
+    With ``keep_null`` the rows of u whose payment reached nobody form one
+    group with a null ``friend_of_friend``, as a left outer join gives.  A
+    u–v payment at time t reaches nobody iff v has at most one partner with
+    first contact ≤ t (u itself always is one), i.e. iff v's second-smallest
+    first-contact time is later than t.
     """
-    rows = with_clock(graph_log(payments))
+    g = graph_of(payments)
     left = (
-        rows.where(F.col("lifetime") <= MAX_LIFETIME)
+        g.rows.where(F.col("lifetime") <= MAX_LIFETIME)
         .groupBy("user1", "user2", "lifetime")
         .agg(F.max("datetime").alias("hi"), F.min("datetime").alias("lo"))
         .withColumnRenamed("user2", "via")
     )
-    right = pair_first(payments).select(
+    right = g.pairs.select(
         F.col("user1").alias("via"), F.col("user2").alias("friend_of_friend"), F.col("datetime").alias("first_dt")
     )
     matched = (
@@ -191,14 +252,11 @@ def fof_first_met(payments: DataFrame) -> DataFrame:
         .groupBy("user1", "friend_of_friend")
         .agg(F.min("lifetime").alias("lifetime"))
     )
-    # A row reaches nobody iff its datetime precedes v's first contact with
-    # anyone other than u: the earliest contact, or the runner-up when the
-    # earliest contact is u itself.
-    thresholds = _second_min(pair_first(payments))
+    if not keep_null:
+        return matched
     unmatched = (
-        left.join(thresholds, "via", "left")
-        .withColumn("thr", F.when(F.col("w1") == F.col("user1"), F.col("d2")).otherwise(F.col("d1")))
-        .where(F.col("thr").isNull() | (F.col("lo") < F.col("thr")))
+        left.join(_runner_up(g.pairs), "via", "left")
+        .where(F.col("d2").isNull() | (F.col("lo") < F.col("d2")))
         .groupBy("user1")
         .agg(F.min("lifetime").alias("lifetime"))
         .select("user1", F.lit(None).cast("bigint").alias("friend_of_friend"), "lifetime")
@@ -206,16 +264,16 @@ def fof_first_met(payments: DataFrame) -> DataFrame:
     return matched.unionByName(unmatched)
 
 
-def fof_new(payments: DataFrame, exclude: str = "same_month") -> DataFrame:
+def fof_new(payments: DataFrame, exclude: str = "same_month", keep_null: bool = True) -> DataFrame:
     """Drop friends-of-friends who are direct friends.
 
     ``same_month`` (as written in the source analysis) drops a
     friend-of-friend only when the direct friendship began in the very same
     month; ``known_by_then`` drops any friend met in that month or earlier.
-    Null rows are kept.
+    Null rows are kept (when ``keep_null``).
     """
-    fof = fof_first_met(payments)
-    met = first_met(payments).select(
+    fof = fof_first_met(payments, keep_null=keep_null)
+    met = graph_of(payments).met.select(
         "user1", F.col("user2").alias("friend_of_friend"), F.col("lifetime").alias("met")
     )
     if exclude == "same_month":
@@ -234,8 +292,8 @@ def fof_new(payments: DataFrame, exclude: str = "same_month") -> DataFrame:
 
 def new_fof(payments: DataFrame) -> DataFrame:
     """New friends-of-friends per month on the 0..12 spine."""
-    fof = fof_new(payments).where(F.col("friend_of_friend").isNotNull())
-    return _count_on_spine(graph_spine(payments), fof, "num_fnd_of_fnd")
+    fof = fof_new(payments, keep_null=False)
+    return _count_on_spine(graph_of(payments).spine, fof, "num_fnd_of_fnd")
 
 
 def cum_fof(payments: DataFrame) -> DataFrame:
@@ -261,14 +319,9 @@ def triangles(payments: DataFrame) -> DataFrame:
     higher one; wedges are pairs of out-edges of one node; a wedge closes if
     its two far ends are joined by an oriented edge.
     """
-    undirected = undirected_first(payments).select(
-        F.col("a").alias("user1"), F.col("b").alias("user2"), "datetime"
-    )
-    degree = (
-        both_orientations(undirected, "user1", "user2")
-        .groupBy("user1")
-        .agg(F.count(F.lit(1)).alias("deg"))
-    )
+    g = graph_of(payments)
+    undirected = g.undirected.select(F.col("a").alias("user1"), F.col("b").alias("user2"), "datetime")
+    degree = g.degree.withColumnRenamed("num_friends", "deg")
     d1 = degree.select(F.col("user1").alias("x"), F.col("deg").alias("dx"))
     d2 = degree.select(F.col("user1").alias("y"), F.col("deg").alias("dy"))
     e = (
@@ -315,8 +368,7 @@ def triangle_month(payments: DataFrame) -> DataFrame:
         ).alias("k"),
         "closed_at",
     ).select("k.*", "closed_at")
-    starts = first_activity(pair_first(payments))
-    return corners.join(starts, "user1").select(
+    return corners.join(graph_of(payments).starts, "user1").select(
         "user1", "friend_a", "friend_b", lifetime_month("closed_at", "start_date").alias("lifetime")
     )
 
@@ -333,7 +385,7 @@ def new_triangles(payments: DataFrame) -> DataFrame:
 
 def triangles_panel(payments: DataFrame) -> DataFrame:
     """Triangles per month, zero-filled on the 0..12 spine."""
-    return graph_spine(payments).join(new_triangles(payments), ["user1", "lifetime"], "left").select(
+    return graph_of(payments).spine.join(new_triangles(payments), ["user1", "lifetime"], "left").select(
         "user1", "lifetime", F.coalesce(F.col("num_triangles"), F.lit(0.0)).alias("num_triangles")
     )
 

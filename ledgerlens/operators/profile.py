@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import round_share
-from ledgerlens.operators.clock import lifetime_spine, first_activity, running_window, with_clock
+from ledgerlens.operators.clock import lifetime_spine, running_window, sender_starts, with_clock
 from ledgerlens.operators.text import payments_with_category
 from ledgerlens.schema import MAX_LIFETIME, PROFILE_COLUMNS
 
@@ -43,7 +43,7 @@ def spending_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
 def category_rows(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """D3 + D4: categorised payments on the sender clock."""
     rows = payments_with_category(payments, dictionary).select("user1", "category", "datetime")
-    return with_clock(rows)
+    return with_clock(rows, sender_starts(payments))
 
 
 def monthly_category_share(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def cumulative_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """
     rows = category_rows(payments, dictionary).where(F.col("lifetime") <= MAX_LIFETIME)
     counts = rows.groupBy("user1", "lifetime").pivot("category", PROFILE_COLUMNS).agg(F.count(F.lit(1)))
-    spine = lifetime_spine(first_activity(payments.select("user1", "datetime")))
+    spine = lifetime_spine(sender_starts(payments))
     panel = spine.join(counts, ["user1", "lifetime"], "left")
     w = running_window()
     running = panel.select(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import clock, features, graph, profile, rank, regress, text
 from ledgerlens.schema import MAX_LIFETIME, NOT_CLASSIFIED, PROFILE_COLUMNS, TEXT_CATEGORIES
-from ledgerlens.sources import derive_payments, fixture_dictionary
+from ledgerlens.sources import derive_payments, fixture_dictionary, stored_payments
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,11 +29,11 @@ Z_DIGITS = 9
 
 
 def _p(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_payments(spark, sf_dir)
+    return stored_payments(spark, sf_dir)
 
 
 def _pd(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return derive_payments(spark, sf_dir), fixture_dictionary(spark)
+    return stored_payments(spark, sf_dir), fixture_dictionary(spark)
 
 
 def _ranks(payments: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def _round(df: DataFrame, cols: list[str], digits: int) -> DataFrame:
 
 # ----------------------------------------------------------------- A, C -----
 def q_read_payments(spark, d):
-    return _p(spark, d)
+    return derive_payments(spark, d)
 
 
 def q_normalize_text(spark, d):
@@ -182,7 +182,7 @@ def q_symmetric_log(spark, d):
 
 
 def q_both_clock(spark, d):
-    return clock.both_rows(_p(spark, d))
+    return graph.both_clock_rows(_p(spark, d))
 
 
 def q_first_met(spark, d):
@@ -297,7 +297,8 @@ def q_model3_input(spark, d):
 
 
 def q_dual_clock(spark, d):
-    return clock.dual_clock(_p(spark, d))
+    p = _p(spark, d)
+    return clock.dual_clock(p, graph.graph_of(p).starts)
 
 
 def q_friend_profile(spark, d):

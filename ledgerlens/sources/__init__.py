@@ -8,7 +8,7 @@ from ledgerlens.sources.dictionary import (
     read_dictionary,
 )
 from ledgerlens.sources.panel import read_panel, write_panel
-from ledgerlens.sources.payments import derive_payments, read_payments, table
+from ledgerlens.sources.payments import derive_payments, read_payments, stored_payments, table
 
 __all__ = [
     "bounded",
@@ -19,6 +19,7 @@ __all__ = [
     "read_dictionary",
     "read_panel",
     "read_payments",
+    "stored_payments",
     "table",
     "write_panel",
 ]
