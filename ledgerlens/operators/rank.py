@@ -1,10 +1,10 @@
 """PageRank E23 / E24 as an iterative join–aggregate.
 
 Rank vectors never leave the cluster: each round joins the current ranks to
-the (cached, pre-partitioned) weighted edge list on the source node and sums
+the weighted edge list (stored once, bucketed by source node) on the source and sums
 the contributions per destination, with map-side partial sums.  Lineage is
-cut with reliable ``checkpoint()`` into the session's shared checkpoint
-folder every few rounds, so a lost executor recomputes at most those rounds.
+cut every few rounds by writing the rank vector to the session's shared
+checkpoint folder, so a lost executor recomputes at most those rounds.
 
 ``group_cols`` runs many independent graphs in the same pass (E24: one graph
 per lifetime month), each normalised by its own node count.
@@ -12,12 +12,14 @@ per lifetime month), each normalised by its own node count.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.graph import first_met, pair_first
 from ledgerlens.schema import MAX_LIFETIME
-from ledgerlens.session import checkpoint_dir
+from ledgerlens.session import checkpoint_dir, materialize
 
 # Defaults of the usual library implementation.
 DAMPING = 0.85
@@ -25,6 +27,27 @@ MAX_ITER = 100
 TOLERANCE = 1.0e-6
 
 
+def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` once as a table bucketed by ``keys`` in the checkpoint folder.
+
+    Reading it back, the planner knows the rows are hash-partitioned by
+    ``keys``, so joins on them shuffle only the other side.  The write also
+    cuts the lineage (a lost executor re-reads the table).
+    """
+    spark = df.sparkSession
+    name = f"ledgerlens_edges_{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    # One write task per bucket, so each bucket is one file.
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def pagerank(
     edges: DataFrame,
     alpha: float = DAMPING,
@@ -32,61 +55,68 @@ def pagerank(
     tol: float | None = TOLERANCE,
     group_cols: tuple[str, ...] = (),
     checkpoint_every: int = 5,
+    max_groups: int = 10_000,
+    max_broadcast_ranks: int = 2_000_000,
 ) -> DataFrame:
     """Rank of every node of a graph given as distinct directed ``src, dst``.
 
-    Undirected graphs pass both orientations.  Every node must have an
-    out-edge (true for undirected graphs without isolated nodes).  With
-    ``tol`` set, rounds stop once every group's L1 change is below
-    ``tol × N``; the only driver traffic is that one number per group.
-    ``tol=None`` runs exactly ``max_iter`` rounds.
+    Undirected graphs pass both orientations, so every node both sends and
+    receives rank.  Per round: the bucketed edge list joins the rank vector
+    on ``src`` without moving the edges, contributions are summed per
+    ``dst`` with map-side partial sums, and the new rank is
+    ``(1 - alpha) / N + alpha * sum``.  With ``tol`` set, rounds stop once
+    every group's L1 change is below ``tol × N`` (one number per group
+    reaches the driver); ``tol=None`` runs exactly ``max_iter`` rounds.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     g = list(group_cols)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out_deg = edges.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("out_deg"))
-    sizes = out_deg.groupBy(*g).agg(F.count(F.lit(1)).alias("n_nodes"))
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    weighted = (
-        edges.join(out_deg, [*g, "src"])
-        .select(*g, "src", "dst", (F.lit(1.0) / F.col("out_deg")).alias("w"))
-        .repartition(n_parts, *g, "src")
-        .checkpoint()
+    weighted = _bucketed(
+        edges.join(out_deg, [*g, "src"]).select(*g, "src", "dst", (F.lit(1.0) / F.col("out_deg")).alias("w")),
+        [*g, "src"],
+        buckets,
     )
+    nodes = weighted.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("d")).select(*g, F.col("src").alias("node"))
     if g:
-        nodes = out_deg.join(sizes, g).select(*g, F.col("src").alias("node"), "n_nodes")
+        sizes = materialize(nodes.groupBy(*g).agg(F.count(F.lit(1)).alias("n_nodes")), "pagerank-sizes")
+        # The group table is broadcast only when its row count is within bound.
+        if sizes.limit(max_groups + 1).count() <= max_groups:
+            sizes = F.broadcast(sizes)
+        rank_rows = sizes.agg(F.sum("n_nodes")).first()[0]
+        ranks = nodes.join(sizes, g).select(*g, "node", (F.lit(1.0) / F.col("n_nodes")).alias("rank"))
     else:
-        nodes = out_deg.select(
-            F.col("src").alias("node"), F.lit(sizes.select("n_nodes").scalar()).alias("n_nodes")
-        )
-    nodes = nodes.repartition(n_parts, *g, "node").checkpoint()
-    ranks = nodes.select(*g, "node", (F.lit(1.0) / F.col("n_nodes")).alias("rank"))
-
-    for i in range(1, max_iter + 1):
-        contrib = (
-            weighted.join(ranks.withColumnRenamed("node", "src"), [*g, "src"])
+        n_nodes = rank_rows = nodes.count()
+        ranks = nodes.select("node", F.lit(1.0 / n_nodes).alias("rank"))
+    ranks = materialize(ranks, "pagerank-ranks")
+    # The rank vector has exactly ``rank_rows`` rows: broadcast it when that
+    # is within bound, otherwise shuffle it onto the edge buckets.
+    small_ranks = rank_rows <= max_broadcast_ranks
+
+    def step(current: DataFrame) -> DataFrame:
+        current = current.withColumnRenamed("node", "src")
+        sums = (
+            weighted.join(F.broadcast(current) if small_ranks else current, [*g, "src"])
             .groupBy(*g, "dst")
             .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
             .withColumnRenamed("dst", "node")
         )
-        new_ranks = nodes.join(contrib, [*g, "node"], "left").select(
-            *g,
-            "node",
-            (
-                F.lit(1.0 - alpha) / F.col("n_nodes") + F.lit(alpha) * F.coalesce(F.col("s"), F.lit(0.0))
-            ).alias("rank"),
-        )
-        if tol is not None or i % checkpoint_every == 0:
-            new_ranks = new_ranks.checkpoint()
+        if g:
+            base = F.lit(1.0 - alpha) / F.col("n_nodes")
+            return sums.join(sizes, g).select(*g, "node", (base + F.lit(alpha) * F.col("s")).alias("rank"))
+        return sums.select("node", (F.lit((1.0 - alpha) / n_nodes) + F.lit(alpha) * F.col("s")).alias("rank"))
+
+    for i in range(1, max_iter + 1):
+        new_ranks = step(ranks)
+        if tol is not None or i % checkpoint_every == 0 or i == max_iter:
+            new_ranks = materialize(new_ranks, "pagerank-ranks")
         if tol is not None:
-            err = (
-                new_ranks.join(ranks.withColumnRenamed("rank", "old"), [*g, "node"])
-                .groupBy(*g)
-                .agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"), F.count(F.lit(1)).alias("n"))
-                .where(F.col("err") >= F.col("n") * F.lit(tol))
+            stats = new_ranks.join(ranks.withColumnRenamed("rank", "old"), [*g, "node"]).groupBy(*g).agg(
+                F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"), F.count(F.lit(1)).alias("n")
             )
             ranks = new_ranks
-            if err.limit(1).count() == 0:
+            if stats.where(F.col("err") >= F.col("n") * F.lit(tol)).limit(1).count() == 0:
                 break
         else:
             ranks = new_ranks

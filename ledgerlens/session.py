@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: adaptive execution (runtime broadcast
 # conversion by measured size, partition coalescing, skew-join splitting),
@@ -69,3 +70,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but in a single job: an
+    eager ``checkpoint()`` computes the plan once to count it and again to
+    write it.  The folder is shared storage on a cluster, so a lost executor
+    re-reads the files instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
