@@ -1,6 +1,6 @@
 """Per-month linear models F14-F20.
 
-The reference fits one model per lifetime month and feature set (13 × 4
+The source analysis fits one model per lifetime month and feature set (13 × 4
 separate MLlib jobs, each re-running the whole lineage).  Here every month
 is fitted in one pass:
 
@@ -201,6 +201,6 @@ def model_comparison(series: DataFrame) -> DataFrame:
         "lifetime",
         *cols,
         best.alias("best_model"),
-        *[(F.col(f"mse_model{m}") - F.col("mse_model1")).alias(f"gain_model{m}") for m in (2, 3, 4)],
+        *[(F.col(f"mse_model{m}") - F.col("mse_model1")).alias(f"delta_model{m}") for m in (2, 3, 4)],
         (F.col("lifetime") == 12).alias("leak"),
     )

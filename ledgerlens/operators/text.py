@@ -27,7 +27,8 @@ _SRC_WEIGHT = 10**15
 _RK_WEIGHT = 10**12
 
 
-def _category_name(rk: str) -> F.Column:
+def category_name(rk: str) -> F.Column:
+    """Category name of a checking-order rank column (unknown → Not_classified)."""
     expr = F.lit(NOT_CLASSIFIED)
     for i, name in reversed(list(enumerate(TEXT_CATEGORIES))):
         expr = F.when(F.col(rk) == i, F.lit(name)).otherwise(expr)
@@ -97,7 +98,7 @@ def classify(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     return (
         per_cat.withColumn("_r", F.row_number().over(best))
         .where(F.col("_r") == 1)
-        .select("description", _category_name("tok_rk").alias("category"))
+        .select("description", category_name("tok_rk").alias("category"))
     )
 
 

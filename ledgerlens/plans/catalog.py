@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import clock, features, graph, profile, rank, regress, text
-from ledgerlens.schema import MAX_LIFETIME, NOT_CLASSIFIED, PROFILE_COLUMNS, TEXT_CATEGORIES
+from ledgerlens.schema import MAX_LIFETIME, NOT_CLASSIFIED, PROFILE_COLUMNS
 from ledgerlens.sources import derive_payments, fixture_dictionary, stored_payments
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,10 +61,7 @@ def q_token_category(spark, d):
     p, dic = _pd(spark, d)
     toks = text.description_tokens(p).select("token").distinct()
     cats = text.token_category(dic)
-    name = F.lit(NOT_CLASSIFIED)
-    for i, c in reversed(list(enumerate(TEXT_CATEGORIES))):
-        name = F.when(F.col("tok_rk") == i, F.lit(c)).otherwise(name)
-    return toks.join(cats, "token", "left").select("token", name.alias("category"))
+    return toks.join(cats, "token", "left").select("token", text.category_name("tok_rk").alias("category"))
 
 
 def q_classify(spark, d):

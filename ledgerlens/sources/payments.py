@@ -88,8 +88,12 @@ def stored_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     if path is None:
         digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
         path = f"{checkpoint_dir(spark).rstrip('/')}/payments-{digest}"
-        # Spread over one file per core so scans of the copy run in parallel.
-        files = spark.sparkContext.defaultParallelism
-        derive_payments(spark, sf_dir).repartition(files).write.mode("overwrite").parquet(path)
+        derived = derive_payments(spark, sf_dir)
+        # Small inputs come out in fewer partitions than cores; spread those
+        # over one file per core so scans of the copy run in parallel.
+        cores = spark.sparkContext.defaultParallelism
+        if derived.rdd.getNumPartitions() < cores:
+            derived = derived.repartition(cores)
+        derived.write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return read_payments(spark, path)
