@@ -39,6 +39,8 @@ MODEL_FEATURES = {
 }
 # Variance below this (relative to 1 + mean²) counts as a constant column.
 CONSTANT_TOL = 1e-10
+# Largest coefficient table (one row per group) that is broadcast.
+MAX_GROUPS = 10_000
 
 
 def split_column(user_col: str = "user1") -> F.Column:
@@ -110,18 +112,31 @@ def fit_by_group(
     return stats.groupBy(group).applyInPandas(_solver(k, group), schema)
 
 
-def predict(df: DataFrame, coefs: DataFrame, features: list[str], group: str = "lifetime") -> DataFrame:
-    """ŷ for every row; ``coefs`` has one row per group (broadcast, bounded)."""
+def predict(
+    df: DataFrame, coefs: DataFrame, features: list[str], group: str = "lifetime", max_groups: int = MAX_GROUPS
+) -> DataFrame:
+    """ŷ for every row; ``coefs`` has one row per group.
+
+    The coefficient table is broadcast when its size is bounded: monthly
+    panels are built on the 0..12 spine, so ``lifetime`` has at most 13
+    values; any other group column is counted first.  A shuffle join on a
+    13-valued key would put a whole month of the panel in one task.
+    """
     yhat = F.col("intercept")
     for i, c in enumerate(features):
         yhat = yhat + F.col(f"b_{i}") * F.col(c).cast("double")
-    return df.join(F.broadcast(coefs), group).withColumn("prediction", yhat)
+    small = group == "lifetime" or coefs.limit(max_groups + 1).count() <= max_groups
+    return df.join(F.broadcast(coefs) if small else coefs, group).withColumn("prediction", yhat)
 
 
 def ols_by_month(
     df: DataFrame, features: list[str], label: str = LABEL, group: str = "lifetime", model: int = 0
 ) -> DataFrame:
-    """F16: per month — train size, test size and test-set MSE."""
+    """F16: per month — train size, test size and test-set MSE.
+
+    Fit and scoring sit in one plan over the same panel, so the panel's
+    shuffles run once and are reused by both sides.
+    """
     split = df if "split" in df.columns else train_test_split(df)
     coefs = fit_by_group(split.where(F.col("split") == "train"), features, label, group)
     scored = predict(split.where(F.col("split") == "test"), coefs, features, group)
