@@ -111,3 +111,15 @@ def test_pagerank_matches_power_iteration(make_payments):
         x = 0.85 * x @ m + 0.15 / len(nodes)
     for n in nodes:
         assert abs(pr[n] - x[idx[n]]) < 1e-9
+
+
+def test_cumulative_profile_worked_example(spark, make_payments):
+    from ledgerlens.operators import profile
+    from ledgerlens.sources import fixture_dictionary
+
+    # day 0: one food payment; by day 30: one more food and two activity
+    p = make_payments([(A, B, 0, "🍕"), (A, B, 5, "hot"), (A, B, 10, "gizmo"), (A, B, 20, "gizmo")])
+    cp = {r.lifetime: r for r in profile.cumulative_profile(p, fixture_dictionary(spark)).collect()}
+    assert cp[0].Food == 1.0 and cp[0].Activity == 0.0
+    assert cp[1].Food == 0.5 and cp[1].Activity == 0.5
+    assert cp[12].Food == 0.5  # months without payments carry the shares
