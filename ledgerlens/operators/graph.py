@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import lifetime_month
 from ledgerlens.operators.clock import (
     both_orientations,
-    first_activity,
     graph_log,
     loop_free,
     lifetime_spine,
@@ -59,10 +58,18 @@ class PaymentGraph:
         """First payment time per ordered pair (both orientations share it)."""
         return both_orientations(self.undirected, "a", "b", "datetime")
 
+    @cached_property
+    def user_stats(self) -> DataFrame:
+        """Per user: first day (min over the user's pairs) and degree, in one
+        aggregate so both come from a single shuffle."""
+        return self.pairs.groupBy("user1").agg(
+            F.min("datetime").alias("start_date"), F.count(F.lit(1)).alias("num_friends")
+        )
+
     @cached_property
     def starts(self) -> DataFrame:
-        """Symmetric-clock first day per user (min over the user's pairs)."""
-        return first_activity(self.pairs)
+        """Symmetric-clock first day per user."""
+        return self.user_stats.select("user1", "start_date")
 
     @cached_property
     def spine(self) -> DataFrame:
@@ -70,7 +77,7 @@ class PaymentGraph:
 
     @cached_property
     def degree(self) -> DataFrame:
-        return self.pairs.groupBy("user1").agg(F.count(F.lit(1)).alias("num_friends"))
+        return self.user_stats.select("user1", "num_friends")
 
     @cached_property
     def edges(self) -> DataFrame:
