@@ -235,7 +235,8 @@ def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
     Time-respecting: the u–v payment must be no earlier than some v–w
     payment, w ≠ u.  The right side only needs v's first contact with each
     w; the left side only the last payment per (u, v, month), because a
-    later payment reaches whatever an earlier one does.
+    later payment reaches whatever an earlier one does, and those ≤ 13
+    monthly values travel as one array per (u, v).
 
     With ``keep_null`` the rows of u whose payment reached nobody form one
     group with a null ``friend_of_friend``, as a left outer join gives.  A
@@ -253,9 +254,22 @@ def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
     right = g.pairs.select(
         F.col("user1").alias("via"), F.col("user2").alias("friend_of_friend"), F.col("datetime").alias("first_dt")
     )
+    # One row per (u, v) with its ≤ 13 (last payment, month) pairs, so the
+    # join on the middle user emits one row per (u, v, w) instead of one per
+    # active month; the earliest month whose last payment reaches w wins.
+    per_pair = left.groupBy("user1", "via").agg(
+        F.collect_list(F.struct("hi", "lifetime")).alias("months")
+    )
+    reached = F.array_min(
+        F.transform(
+            F.filter("months", lambda m: m["hi"] >= F.col("first_dt")), lambda m: m["lifetime"]
+        )
+    )
     matched = (
-        left.join(right, "via")
-        .where((F.col("friend_of_friend") != F.col("user1")) & (F.col("hi") >= F.col("first_dt")))
+        per_pair.join(right, "via")
+        .where(F.col("friend_of_friend") != F.col("user1"))
+        .select("user1", "friend_of_friend", reached.alias("lifetime"))
+        .where(F.col("lifetime").isNotNull())
         .groupBy("user1", "friend_of_friend")
         .agg(F.min("lifetime").alias("lifetime"))
     )
