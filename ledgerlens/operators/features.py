@@ -8,7 +8,7 @@ broadcast when one side is small).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.clock import dual_clock, running_window, sender_clock, sender_spine
@@ -142,26 +142,41 @@ def network_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     hop 1 = friends first met by the month, hop 2 = new friends-of-friends
     reached by the month (E12).  A contact's profile is its whole-period
     spending profile (D2, missing shares as 0).  One row per (user1,
-    lifetime, hop) with at least one contact.
+    lifetime, hop) from the first month with a contact on.
+
+    Contacts are summed per month of first contact, then running sums over
+    the 13-month panel of each (user1, hop) give the averages; contacts are
+    never copied into every later month.
     """
     friends = first_met(payments).select("user1", F.col("user2").alias("contact"), "lifetime", F.lit(1).alias("hop"))
     fofs = (
-        fof_new(payments)
-        .where(F.col("friend_of_friend").isNotNull())
+        fof_new(payments, keep_null=False)
         .select("user1", F.col("friend_of_friend").alias("contact"), "lifetime", F.lit(2).alias("hop"))
     )
     contacts = friends.unionByName(fofs).where(F.col("lifetime") <= MAX_LIFETIME)
-    known = contacts.select(
-        "user1",
-        "contact",
-        "hop",
-        F.explode(F.sequence(F.col("lifetime"), F.lit(MAX_LIFETIME).cast("bigint"))).alias("lifetime"),
-    )
     prof = spending_profile(payments, dictionary).select(
         F.col("user1").alias("contact"), *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in PROFILE_COLUMNS]
     )
-    return (
-        known.join(prof, "contact")
-        .groupBy("user1", "lifetime", "hop")
-        .agg(F.count(F.lit(1)).alias("n_contacts"), *[F.avg(c).alias(c) for c in PROFILE_COLUMNS])
+    monthly = (
+        contacts.join(prof, "contact")
+        .groupBy("user1", "hop", "lifetime")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in PROFILE_COLUMNS])
+    )
+    months = F.sequence(F.lit(0).cast("bigint"), F.lit(MAX_LIFETIME).cast("bigint"))
+    spine = monthly.groupBy("user1", "hop").agg(F.min("lifetime").alias("first")).select(
+        "user1", "hop", "first", F.explode(months).alias("lifetime")
+    ).where(F.col("lifetime") >= F.col("first"))
+    w = (
+        Window.partitionBy("user1", "hop")
+        .orderBy("lifetime")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    panel = spine.join(monthly, ["user1", "hop", "lifetime"], "left")
+    n_run = F.sum("n").over(w)
+    return panel.select(
+        "user1",
+        "lifetime",
+        "hop",
+        n_run.alias("n_contacts"),
+        *[(F.sum(c).over(w) / n_run).alias(c) for c in PROFILE_COLUMNS],
     )

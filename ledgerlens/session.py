@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Coalesce post-shuffle partitions to the advisory size (64 MB) rather
-    # than keeping one per core: small stages stop paying per-task overhead,
-    # large stages still split into as many 64 MB partitions as they need.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even when that costs an extra shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
