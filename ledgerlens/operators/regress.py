@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.schema import PROFILE_COLUMNS
+from ledgerlens.session import materialize
 
 # Split and feature lists.
 TRAIN_BUCKETS = 7  # of 10 hash buckets → 70 / 30
@@ -158,15 +159,15 @@ def mse_series(inputs: dict[int, DataFrame]) -> DataFrame:
 def standardize(df: DataFrame, col: str, out_col: str | None = None, by: str | None = None) -> DataFrame:
     """z-score of ``col`` (sample standard deviation).
 
-    Without ``by`` the mean and deviation are scalar subqueries computed once
-    over the whole input; with ``by`` they come from a grouped aggregate
-    joined on the group key.  Either way no single-partition window.
+    Without ``by`` the mean and deviation come from one aggregate pass (two
+    numbers reach the driver) and are applied as literals; with ``by`` they
+    come from a grouped aggregate joined on the group key.  Either way no
+    single-partition window.
     """
     out_col = out_col or f"std_{col}"
     if by is None:
-        mean = df.select(F.avg(col)).scalar()
-        std = df.select(F.stddev_samp(col)).scalar()
-        return df.withColumn(out_col, (F.col(col) - mean) / std)
+        mean, std = df.agg(F.avg(col), F.stddev_samp(col)).first()
+        return df.withColumn(out_col, (F.col(col) - F.lit(mean)) / F.lit(std))
     stats = df.groupBy(by).agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
     return (
         df.join(stats, by)
@@ -185,6 +186,9 @@ def coefficient_table(df: DataFrame, features: list[str], label: str = LABEL) ->
 
     spark = df.sparkSession
     train = train_test_split(df).where(F.col("split") == "train")
+    # The solver makes several passes; they read one written copy of the
+    # training rows instead of re-running the input's lineage each time.
+    train = materialize(train.select(*features, label), "coef-train")
     data = assemble(train, features).select("features", F.col(label).cast("double").alias("label"))
     model = LinearRegression(solver="normal", labelCol="label", featuresCol="features").fit(data)
     names = [*features, "intercept"]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import clock, features, graph, profile, rank, regress, text
 from ledgerlens.schema import MAX_LIFETIME, NOT_CLASSIFIED, PROFILE_COLUMNS
+from ledgerlens.session import materialize
 from ledgerlens.sources import derive_payments, fixture_dictionary, stored_payments
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,16 +336,19 @@ def q_mse_series(spark, d):
     return _round(regress.mse_series(_model_inputs(spark, d)), ["mse"], MSE_DIGITS)
 
 
+def _month12(p: DataFrame) -> DataFrame:
+    """Month-12 slice of the model-3 panel, written once for multi-pass use."""
+    return materialize(features.model3_input(p, _ranks(p)).where(F.col("lifetime") == MAX_LIFETIME), "m12")
+
+
 def q_standardize(spark, d):
-    p = _p(spark, d)
-    m12 = features.model3_input(p, _ranks(p)).where(F.col("lifetime") == MAX_LIFETIME)
+    m12 = _month12(_p(spark, d))
     z = regress.standardize(m12, "page_rank").drop("page_rank")
     return _round(z, ["std_page_rank"], Z_DIGITS)
 
 
 def q_coefficient_table(spark, d):
-    p = _p(spark, d)
-    m12 = features.model3_input(p, _ranks(p)).where(F.col("lifetime") == MAX_LIFETIME)
+    m12 = _month12(_p(spark, d))
     z = regress.standardize(m12, "page_rank")
     return regress.coefficient_table(z, [*regress.NETWORK_FEATURES[:3], "std_page_rank"])
 
