@@ -1,8 +1,9 @@
 """PageRank E23 / E24 as an iterative join–aggregate.
 
 Rank vectors never leave the cluster: each round joins the current ranks to
-the weighted edge list (stored once, bucketed by source node) on the source and sums
-the contributions per destination, with map-side partial sums.  Lineage is
+the weighted edge list (stored once, bucketed by source node and a salt that
+spreads hot sources) on the source and sums the contributions per
+destination, with map-side partial sums.  Lineage is
 cut every few rounds by writing the rank vector to the session's shared
 checkpoint folder, so a lost executor recomputes at most those rounds.
 
@@ -56,48 +57,71 @@ def pagerank(
     group_cols: tuple[str, ...] = (),
     checkpoint_every: int = 5,
     max_groups: int = 10_000,
-    max_broadcast_ranks: int = 2_000_000,
 ) -> DataFrame:
     """Rank of every node of a graph given as distinct directed ``src, dst``.
 
     Undirected graphs pass both orientations, so every node both sends and
-    receives rank.  Per round: the bucketed edge list joins the rank vector
-    on ``src`` without moving the edges, contributions are summed per
-    ``dst`` with map-side partial sums, and the new rank is
+    receives rank.  Per round: the stored edge list joins the rank vector on
+    ``src`` without moving the edges, contributions are summed per ``dst``
+    with map-side partial sums, and the new rank is
     ``(1 - alpha) / N + alpha * sum``.  With ``tol`` set, rounds stop once
     every group's L1 change is below ``tol × N`` (one number per group
     reaches the driver); ``tol=None`` runs exactly ``max_iter`` rounds.
+
+    Hot sources are salted: a source with more out-edges than an average
+    bucket holds has its edges spread over ``s = ceil(out_deg / load)``
+    buckets by a hash of the destination, and its rank row is sent to each
+    of those ``s`` buckets.  A hub holding a third of all edges therefore
+    never makes one task process a third of the edges per round.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     g = list(group_cols)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out_deg = edges.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("out_deg"))
+    out_deg = materialize(edges.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("out_deg")), "pagerank-degree")
+    n_edges = out_deg.agg(F.sum("out_deg")).first()[0] or 0
+    load = max(1, -(-n_edges // buckets))
+    fan = out_deg.select(
+        *g,
+        "src",
+        "out_deg",
+        F.least(F.ceil(F.col("out_deg") / F.lit(load)), F.lit(buckets)).cast("int").alias("s"),
+    )
     weighted = _bucketed(
-        edges.join(out_deg, [*g, "src"]).select(*g, "src", "dst", (F.lit(1.0) / F.col("out_deg")).alias("w")),
-        [*g, "src"],
+        edges.join(fan, [*g, "src"]).select(
+            *g,
+            "src",
+            "dst",
+            F.pmod(F.xxhash64("dst"), F.col("s")).cast("int").alias("salt"),
+            (F.lit(1.0) / F.col("out_deg")).alias("w"),
+        ),
+        [*g, "src", "salt"],
         buckets,
     )
-    nodes = weighted.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("d")).select(*g, F.col("src").alias("node"))
+    fan = materialize(fan.select(*g, F.col("src").alias("node"), "s"), "pagerank-fan")
+    nodes = fan.select(*g, "node")
     if g:
         sizes = materialize(nodes.groupBy(*g).agg(F.count(F.lit(1)).alias("n_nodes")), "pagerank-sizes")
         # The group table is broadcast only when its row count is within bound.
         if sizes.limit(max_groups + 1).count() <= max_groups:
             sizes = F.broadcast(sizes)
-        rank_rows = sizes.agg(F.sum("n_nodes")).first()[0]
         ranks = nodes.join(sizes, g).select(*g, "node", (F.lit(1.0) / F.col("n_nodes")).alias("rank"))
     else:
-        n_nodes = rank_rows = nodes.count()
+        n_nodes = nodes.count()
         ranks = nodes.select("node", F.lit(1.0 / n_nodes).alias("rank"))
     ranks = materialize(ranks, "pagerank-ranks")
-    # The rank vector has exactly ``rank_rows`` rows: broadcast it when that
-    # is within bound, otherwise shuffle it onto the edge buckets.
-    small_ranks = rank_rows <= max_broadcast_ranks
 
     def step(current: DataFrame) -> DataFrame:
-        current = current.withColumnRenamed("node", "src")
+        # One copy of each rank row per salt bucket of its node (1 for all
+        # but the hot sources).
+        sent = current.join(fan, [*g, "node"]).select(
+            *g,
+            F.col("node").alias("src"),
+            F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"),
+            "rank",
+        )
         sums = (
-            weighted.join(F.broadcast(current) if small_ranks else current, [*g, "src"])
+            weighted.join(sent, [*g, "src", "salt"])
             .groupBy(*g, "dst")
             .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
             .withColumnRenamed("dst", "node")

@@ -123,3 +123,25 @@ def test_cumulative_profile_worked_example(spark, make_payments):
     assert cp[0].Food == 1.0 and cp[0].Activity == 0.0
     assert cp[1].Food == 0.5 and cp[1].Activity == 0.5
     assert cp[12].Food == 0.5  # months without payments carry the shares
+
+
+def test_pagerank_salted_hub_matches_power_iteration(make_payments):
+    """A hub with more out-edges than a bucket's average load is salted
+    (600 leaves vs 1400 edges over 4 buckets → its edges go to 2 buckets);
+    ranks must still equal plain power iteration."""
+    import numpy as np
+
+    leaves = list(range(1, 601))
+    edges = [(0, v) for v in leaves] + [(v, v + 1) for v in range(1, 101)]
+    p = make_payments([(u, v, 0) for u, v in edges])
+    pr = {r.user1: r.PageRank for r in rank.page_rank(p, max_iter=30, tol=None).collect()}
+    nodes = sorted(pr)
+    idx = {n: i for i, n in enumerate(nodes)}
+    adj = np.zeros((len(nodes), len(nodes)))
+    for u, v in edges:
+        adj[idx[u], idx[v]] = adj[idx[v], idx[u]] = 1
+    m = adj / adj.sum(axis=1, keepdims=True)
+    x = np.full(len(nodes), 1 / len(nodes))
+    for _ in range(30):
+        x = 0.85 * x @ m + 0.15 / len(nodes)
+    assert max(abs(pr[n] - x[idx[n]]) for n in nodes) < 1e-12
