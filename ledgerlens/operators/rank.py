@@ -36,7 +36,7 @@ def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     cuts the lineage (a lost executor re-reads the table).
     """
     spark = df.sparkSession
-    name = f"ledgerlens_edges_{uuid.uuid4().hex[:12]}"
+    name = f"ledgerlens_bucketed_{uuid.uuid4().hex[:12]}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
     # One write task per bucket, so each bucket is one file.
     (
@@ -98,7 +98,9 @@ def pagerank(
         [*g, "src", "salt"],
         buckets,
     )
-    fan = materialize(fan.select(*g, F.col("src").alias("node"), "s"), "pagerank-fan")
+    # Salt counts per node, bucketed like the aggregated ranks (by node), so
+    # joining them each round needs no exchange.
+    fan = _bucketed(fan.select(*g, F.col("src").alias("node"), "s"), [*g, "node"], buckets)
     nodes = fan.select(*g, "node")
     if g:
         sizes = materialize(nodes.groupBy(*g).agg(F.count(F.lit(1)).alias("n_nodes")), "pagerank-sizes")
