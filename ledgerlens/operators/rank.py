@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.clock import both_orientations
 from ledgerlens.operators.graph import first_met, pair_first
 from ledgerlens.schema import MAX_LIFETIME
 from ledgerlens.session import checkpoint_dir, materialize
@@ -162,17 +163,23 @@ def page_rank(payments: DataFrame, max_iter: int = MAX_ITER, tol: float | None =
 
 
 def monthly_edges(payments: DataFrame) -> DataFrame:
-    """E24 graph family: month m holds pairs first met by month m (either end's clock)."""
+    """E24 graph family: month m holds the pairs first met by month m.
+
+    A pair's first month is taken on either end's clock, so the undirected
+    edge exists from ``min(month on u's clock, month on v's clock)`` on.
+    That minimum is aggregated once per unordered pair, then months and both
+    orientations are generated without any further shuffle or ``distinct``.
+    """
     met = first_met(payments)
-    months = met.where(F.col("lifetime") <= MAX_LIFETIME).select(
-        "user1",
-        "user2",
-        F.explode(F.sequence(F.col("lifetime"), F.lit(MAX_LIFETIME).cast("bigint"))).alias("lifetime"),
+    first = met.groupBy(
+        F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b")
+    ).agg(F.min("lifetime").alias("first"))
+    months = first.where(F.col("first") <= MAX_LIFETIME).select(
+        "a", "b", F.explode(F.sequence(F.col("first"), F.lit(MAX_LIFETIME).cast("bigint"))).alias("lifetime")
     )
-    both = months.select(F.col("user1").alias("src"), F.col("user2").alias("dst"), "lifetime").unionByName(
-        months.select(F.col("user2").alias("src"), F.col("user1").alias("dst"), "lifetime")
+    return both_orientations(months, "a", "b", "lifetime").select(
+        F.col("user1").alias("src"), F.col("user2").alias("dst"), "lifetime"
     )
-    return both.distinct()
 
 
 def page_rank_by_month(
