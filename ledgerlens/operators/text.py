@@ -19,12 +19,15 @@ from ledgerlens.functions import (
     text_tokens,
 )
 from ledgerlens.schema import EMOJI_CATEGORIES, NOT_CLASSIFIED, TEXT_CATEGORIES, emoji_class
+from ledgerlens.session import materialize
 from ledgerlens.sources.dictionary import bounded
 
 # Order key of a dictionary entry: text entries first, then category rank,
 # then row; one bigint so it aggregates with ``min``.
 _SRC_WEIGHT = 10**15
 _RK_WEIGHT = 10**12
+# Largest classified-description table broadcast to the payment log.
+MAX_BROADCAST_DESCRIPTIONS = 1_000_000
 
 
 def category_name(rk: str) -> F.Column:
@@ -102,9 +105,20 @@ def classify(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def payments_with_category(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Every payment with its description's category."""
-    return payments.join(classify(payments, dictionary), "description", "left").select(
+def payments_with_category(
+    payments: DataFrame, dictionary: DataFrame, max_broadcast: int = MAX_BROADCAST_DESCRIPTIONS
+) -> DataFrame:
+    """Every payment with its description's category.
+
+    The classified table (one row per distinct description) is written once
+    and counted.  Within ``max_broadcast`` rows it is broadcast, so the
+    payment log is never shuffled for the join back; beyond that the join
+    shuffles both sides by description and AQE splits hot descriptions.
+    """
+    classified = materialize(classify(payments, dictionary), "classified")
+    small = classified.limit(max_broadcast + 1).count() <= max_broadcast
+    side = F.broadcast(classified) if small else classified
+    return payments.join(side, "description", "left").select(
         *payments.columns, F.coalesce(F.col("category"), F.lit(NOT_CLASSIFIED)).alias("category")
     )
 
