@@ -92,6 +92,22 @@ def both_rows(payments: DataFrame) -> DataFrame:
     return with_clock(graph_log(payments))
 
 
+def sender_days(payments: DataFrame) -> DataFrame:
+    """Payments per payer and calendar day, on the sender clock.
+
+    Lifetime month and day offset depend only on the calendar day, so
+    aggregate consumers count per (user, day) first: a payer with millions
+    of payments joins the start dates with at most one row per active day.
+    """
+    daily = payments.groupBy("user1", F.to_date("datetime").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return daily.join(sender_starts(payments), "user1").select(
+        "user1",
+        "n",
+        lifetime_month("day", "start_date").alias("lifetime"),
+        F.datediff("day", "start_date").cast("bigint").alias("days"),
+    )
+
+
 def sender_clock(payments: DataFrame) -> DataFrame:
     """sender-clock rows with ``lifetime_days`` and ``days``."""
     rows = with_clock(payments.select("user1", "user2", "datetime"), sender_starts(payments))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.clock import dual_clock, running_window, sender_clock, sender_spine
+from ledgerlens.operators.clock import dual_clock, running_window, sender_days, sender_spine
 from ledgerlens.operators.graph import cum_friends, cum_fof, cum_triangles, first_met, fof_new, graph_of
 from ledgerlens.operators.profile import dynamic_profile, running_profile, spending_profile
 from ledgerlens.operators.rank import page_rank
@@ -20,15 +20,21 @@ from ledgerlens.schema import DAYS_PER_MONTH, MAX_LIFETIME, PROFILE_COLUMNS
 
 def first_year_txn(payments: DataFrame) -> DataFrame:
     """F1 (Y): payments sent in months 0..12 of the sender clock."""
-    rows = sender_clock(payments).where(F.col("lifetime") <= MAX_LIFETIME)
-    return rows.groupBy("user1").agg(F.count(F.lit(1)).alias("num_transaction"))
+    days = sender_days(payments).where(F.col("lifetime") <= MAX_LIFETIME)
+    return days.groupBy("user1").agg(F.sum("n").cast("bigint").alias("num_transaction"))
 
 
 def rf_monthly(payments: DataFrame) -> DataFrame:
     """per active month — last active day and number of payments."""
-    rows = sender_clock(payments).where(F.col("lifetime") <= MAX_LIFETIME)
-    return rows.groupBy("user1", "lifetime", "lifetime_days").agg(
-        F.max("days").alias("latest_txn"), F.count(F.lit(1)).alias("num_txn")
+    days = sender_days(payments).where(F.col("lifetime") <= MAX_LIFETIME)
+    return days.groupBy("user1", "lifetime").agg(
+        F.max("days").alias("latest_txn"), F.sum("n").cast("bigint").alias("num_txn")
+    ).select(
+        "user1",
+        "lifetime",
+        (F.col("lifetime") * DAYS_PER_MONTH).alias("lifetime_days"),
+        "latest_txn",
+        "num_txn",
     )
 
 

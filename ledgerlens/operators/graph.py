@@ -95,6 +95,24 @@ class PaymentGraph:
     def met(self) -> DataFrame:
         return self.edges.select("user1", "user2", "lifetime")
 
+    @cached_property
+    def day_rows(self) -> DataFrame:
+        """First and last payment per ordered pair and calendar day, with the
+        month on user1's clock.  Aggregated per unordered pair and day before
+        the orientations are emitted and the start dates joined, so a hub's
+        payments reach the join as at most one row per pair and day."""
+        clean = loop_free(self.payments)
+        daily = clean.groupBy(
+            F.least("user1", "user2").alias("a"),
+            F.greatest("user1", "user2").alias("b"),
+            F.to_date("datetime").alias("day"),
+        ).agg(F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
+        return (
+            both_orientations(daily, "a", "b", "day", "lo", "hi")
+            .join(self.starts, "user1")
+            .withColumn("lifetime", lifetime_month("day", "start_date"))
+        )
+
     @cached_property
     def rows(self) -> DataFrame:
         """Every symmetric row with its symmetric-clock month."""
@@ -246,9 +264,9 @@ def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
     """
     g = graph_of(payments)
     left = (
-        g.rows.where(F.col("lifetime") <= MAX_LIFETIME)
+        g.day_rows.where(F.col("lifetime") <= MAX_LIFETIME)
         .groupBy("user1", "user2", "lifetime")
-        .agg(F.max("datetime").alias("hi"), F.min("datetime").alias("lo"))
+        .agg(F.max("hi").alias("hi"), F.min("lo").alias("lo"))
         .withColumnRenamed("user2", "via")
     )
     right = g.pairs.select(
