@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import round_share
+from ledgerlens.functions import lifetime_month, round_share
 from ledgerlens.operators.clock import lifetime_spine, running_window, sender_starts, with_clock
-from ledgerlens.operators.text import payments_with_category
+from ledgerlens.operators.text import category_counts, payments_with_category
 from ledgerlens.schema import MAX_LIFETIME, PROFILE_COLUMNS
 
 
@@ -23,8 +23,12 @@ def category_share(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     Only ``transaction_type = 'payment'`` rows count.
     """
-    rows = payments_with_category(payments, dictionary).where(F.col("transaction_type") == "payment")
-    counts = rows.groupBy("user1", "category").agg(F.count(F.lit(1)).alias("transaction_per_category"))
+    paid = payments.where(F.col("transaction_type") == "payment")
+    counts = (
+        category_counts(payments, dictionary, ["user1"], rows=paid)
+        .groupBy("user1", "category")
+        .agg(F.sum("n").cast("bigint").alias("transaction_per_category"))
+    )
     total = F.sum("transaction_per_category").over(Window.partitionBy("user1"))
     return counts.select(
         "user1", "category", "transaction_per_category", round_share("transaction_per_category", total).alias("ratio")
@@ -46,14 +50,24 @@ def category_rows(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     return with_clock(rows, sender_starts(payments))
 
 
+def daily_category_counts(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Payments per payer, calendar day and category, with the sender-clock
+    month.  Counted per (payer, day, description) before categorising and
+    before the start-date join, so neither join sees raw payments."""
+    daily = category_counts(payments, dictionary, ["user1", F.to_date("datetime").alias("day")])
+    return daily.join(sender_starts(payments), "user1").select(
+        "user1", "category", "n", lifetime_month("day", "start_date").alias("lifetime")
+    )
+
+
 def monthly_category_share(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Per user, month 0..12 and category — count and share in that month.
 
     Every payment type counts here (unlike D1).
     """
-    rows = category_rows(payments, dictionary).where(F.col("lifetime") <= MAX_LIFETIME)
+    rows = daily_category_counts(payments, dictionary).where(F.col("lifetime") <= MAX_LIFETIME)
     counts = rows.groupBy("user1", "lifetime", "category").agg(
-        F.count(F.lit(1)).alias("transaction_per_category_per_lifetime")
+        F.sum("n").cast("bigint").alias("transaction_per_category_per_lifetime")
     )
     total = F.sum("transaction_per_category_per_lifetime").over(Window.partitionBy("user1", "lifetime"))
     return counts.select(
@@ -90,8 +104,8 @@ def cumulative_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     Two food and two activity payments out of four so far give 0.5 / 0.5.
     Months without payments carry the previous shares.
     """
-    rows = category_rows(payments, dictionary).where(F.col("lifetime") <= MAX_LIFETIME)
-    counts = rows.groupBy("user1", "lifetime").pivot("category", PROFILE_COLUMNS).agg(F.count(F.lit(1)))
+    rows = daily_category_counts(payments, dictionary).where(F.col("lifetime") <= MAX_LIFETIME)
+    counts = rows.groupBy("user1", "lifetime").pivot("category", PROFILE_COLUMNS).agg(F.sum("n"))
     spine = lifetime_spine(sender_starts(payments))
     panel = spine.join(counts, ["user1", "lifetime"], "left")
     w = running_window()

@@ -105,24 +105,53 @@ def classify(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
-def payments_with_category(
+def classified_side(
     payments: DataFrame, dictionary: DataFrame, max_broadcast: int = MAX_BROADCAST_DESCRIPTIONS
 ) -> DataFrame:
-    """Every payment with its description's category.
+    """The classified table, ready to join on ``description``.
 
-    The classified table (one row per distinct description) is written once
-    and counted.  Within ``max_broadcast`` rows it is broadcast, so the
-    payment log is never shuffled for the join back; beyond that the join
-    shuffles both sides by description and AQE splits hot descriptions.
+    Written once per (log, dictionary) and counted.  Within
+    ``max_broadcast`` rows it carries a broadcast hint, so the payment side
+    is never shuffled for the join; beyond that both sides shuffle by
+    description and AQE splits hot descriptions.
     """
+    memo = payments.__dict__.setdefault("_ledgerlens_classified", {})
+    hit = memo.get(id(dictionary))
+    if hit is not None and hit[0] is dictionary:
+        return hit[1]
     classified = materialize(classify(payments, dictionary), "classified")
     small = classified.limit(max_broadcast + 1).count() <= max_broadcast
     side = F.broadcast(classified) if small else classified
-    return payments.join(side, "description", "left").select(
+    memo[id(dictionary)] = (dictionary, side)
+    return side
+
+
+def payments_with_category(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Every payment with its description's category."""
+    return payments.join(classified_side(payments, dictionary), "description", "left").select(
         *payments.columns, F.coalesce(F.col("category"), F.lit(NOT_CLASSIFIED)).alias("category")
     )
 
 
+def category_counts(
+    payments: DataFrame, dictionary: DataFrame, keys: list, rows: DataFrame | None = None
+) -> DataFrame:
+    """Payments per ``keys`` and category, counted before categorising.
+
+    ``rows`` (default: the whole log) are first counted per keys and
+    description with map-side combine, so the join with the classified table
+    sees one row per distinct (keys, description) instead of one per payment.
+    The classification itself is shared per log.
+    """
+    counted = (payments if rows is None else rows).groupBy(*keys, "description").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    key_cols = [c for c in counted.columns if c not in ("description", "n")]
+    return counted.join(classified_side(payments, dictionary), "description", "left").select(
+        *key_cols, F.coalesce(F.col("category"), F.lit(NOT_CLASSIFIED)).alias("category"), "n"
+    )
+
+
 def contains_emoji_flag(payments: DataFrame) -> DataFrame:
     """Whether each distinct description contains an emoji."""
     return (
