@@ -145,3 +145,14 @@ def test_pagerank_salted_hub_matches_power_iteration(make_payments):
     for _ in range(30):
         x = 0.85 * x @ m + 0.15 / len(nodes)
     assert max(abs(pr[n] - x[idx[n]]) for n in nodes) < 1e-12
+
+
+def test_fof_exclusion_modes(make_payments):
+    # A–C on day 0 (direct friends in month 0); A–B and B–C on day 5, so A
+    # reaches C through B in month 1.
+    p = make_payments([(A, C, 0), (A, B, 5), (B, C, 5)])
+    same = {(r.user1, r.friend_of_friend): r.lifetime for r in graph.fof_new(p).collect()}
+    known = {(r.user1, r.friend_of_friend): r.lifetime for r in graph.fof_new(p, exclude="known_by_then").collect()}
+    assert same[(A, C)] == 1  # direct friendship began in month 0, not month 1
+    assert (A, C) not in known  # already a friend by month 1
+    assert same[(A, None)] == 0 and known[(A, None)] == 0
