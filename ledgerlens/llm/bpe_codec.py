@@ -24,7 +24,7 @@ from ledgerlens.llm.vocabulary import Memo, Vocabulary, chunks, share, vocabular
 
 LONG = 256
 #: chunks, and words, remembered by a worker, in each of two generations
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 _NONE = 1 << 62
 
 

@@ -20,7 +20,7 @@ from ledgerlens.llm.common import map_texts
 from ledgerlens.llm.vocabulary import BYTE_PATTERN, SPACE, Memo, Vocabulary, share, vocabulary
 
 #: chunks remembered by a worker, in each of two generations
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: symbols held in one ragged array
 BATCH_SYMBOLS = 400_000
 
