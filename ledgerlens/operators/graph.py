@@ -385,7 +385,7 @@ def triangles(payments: DataFrame) -> DataFrame:
     tri = wedges.join(closing, ["b", "c"])
     lo = F.least("a", "b", "c")
     hi = F.greatest("a", "b", "c")
-    mid = F.col("a") + F.col("b") + F.col("c") - lo - hi
+    mid = F.sort_array(F.array("a", "b", "c"))[1]
     return tri.select(
         lo.alias("user_a"),
         mid.alias("user_b"),

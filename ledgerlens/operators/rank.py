@@ -67,7 +67,8 @@ def pagerank(
     with map-side partial sums, and the new rank is
     ``(1 - alpha) / N + alpha * sum``.  With ``tol`` set, rounds stop once
     every group's L1 change is below ``tol × N`` (one number per group
-    reaches the driver); ``tol=None`` runs exactly ``max_iter`` rounds.
+    reaches the driver) and more than ``max_iter`` rounds are an error;
+    ``tol=None`` runs exactly ``max_iter`` rounds.  No edges give no ranks.
 
     Hot sources are salted: a source with more out-edges than an average
     bucket holds has its edges spread over ``s = ceil(out_deg / load)``
@@ -111,6 +112,8 @@ def pagerank(
         ranks = nodes.join(sizes, g).select(*g, "node", (F.lit(1.0) / F.col("n_nodes")).alias("rank"))
     else:
         n_nodes = nodes.count()
+        if not n_nodes:
+            return nodes.select("node", F.lit(0.0).alias("rank"))
         ranks = nodes.select("node", F.lit(1.0 / n_nodes).alias("rank"))
     ranks = materialize(ranks, "pagerank-ranks")
 
@@ -144,9 +147,11 @@ def pagerank(
             )
             ranks = new_ranks
             if stats.where(F.col("err") >= F.col("n") * F.lit(tol)).limit(1).count() == 0:
-                break
+                return ranks
         else:
             ranks = new_ranks
+    if tol is not None:
+        raise RuntimeError(f"PageRank did not reach the tolerance {tol} in {max_iter} rounds")
     return ranks
 
 

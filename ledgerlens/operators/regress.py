@@ -38,7 +38,8 @@ MODEL_FEATURES = {
     3: ["lifetime", *NETWORK_FEATURES],
     4: [*PROFILE_COLUMNS, *NETWORK_FEATURES],
 }
-# Variance below this (relative to 1 + mean²) counts as a constant column.
+# Variance below this share of the mean square counts as a constant column,
+# whatever the column's unit.
 CONSTANT_TOL = 1e-10
 # Largest coefficient table (one row per group) that is broadcast.
 MAX_GROUPS = 10_000
@@ -85,13 +86,16 @@ def _solver(k: int, group: str):
                 sxx[i, j] = sxx[j, i] = row[f"sxx_{i}_{j}"]
         cov = sxx / n - np.outer(mean, mean)
         cxy = np.array([row[f"sxy_{i}"] for i in range(k)], dtype=float) / n - mean * ybar
-        keep = np.diag(cov) > CONSTANT_TOL * (1.0 + mean**2)
+        keep = np.diag(cov) > CONSTANT_TOL * np.diag(sxx) / n
         beta = np.zeros(k)
         rank = 0
         if keep.any():
-            sub = cov[np.ix_(keep, keep)]
-            sol, _, rank, _ = np.linalg.lstsq(sub, cxy[keep], rcond=None)
-            beta[keep] = sol
+            # Solved on the correlation matrix, so a column of small numbers
+            # (PageRank averages 1/N) weighs as much as any other.
+            scale = np.sqrt(np.diag(cov)[keep])
+            sub = cov[np.ix_(keep, keep)] / np.outer(scale, scale)
+            sol, _, rank, _ = np.linalg.lstsq(sub, cxy[keep] / scale, rcond=1e-10)
+            beta[keep] = sol / scale
         intercept = ybar - float(beta @ mean)
         out = {group: [row[group]], "n_train": [int(n)], "rank": [int(rank)], "intercept": [intercept]}
         for i in range(k):
@@ -167,11 +171,11 @@ def standardize(df: DataFrame, col: str, out_col: str | None = None, by: str | N
     out_col = out_col or f"std_{col}"
     if by is None:
         mean, std = df.agg(F.avg(col), F.stddev_samp(col)).first()
-        return df.withColumn(out_col, (F.col(col) - F.lit(mean)) / F.lit(std))
+        return df.withColumn(out_col, F.try_divide(F.col(col) - F.lit(mean), F.lit(std)))
     stats = df.groupBy(by).agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
     return (
         df.join(stats, by)
-        .withColumn(out_col, (F.col(col) - F.col("_mu")) / F.col("_sd"))
+        .withColumn(out_col, F.try_divide(F.col(col) - F.col("_mu"), F.col("_sd")))
         .drop("_mu", "_sd")
     )
 

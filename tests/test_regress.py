@@ -1,5 +1,6 @@
 """Grouped OLS against MLlib, split determinism, coefficient table."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,29 @@ def test_series_comparison_and_coefficients(spark, payments):
     assert abs(mean) < 1e-9 and abs(sd - 1) < 1e-9
     table = regress.coefficient_table(z, ["num_friends", "num_friends_of_friends", "num_triangles", "std_page_rank"])
     assert [r.feature for r in table.collect()][-1] == "intercept"
+
+
+def test_fit_does_not_depend_on_a_columns_unit(spark):
+    """PageRank-like columns average 1/N; at a million users their variance is about 1e-13."""
+    rng = np.random.default_rng(3)
+    x = rng.lognormal(size=(4000, 2))
+    y = 3.0 * x[:, 0] + 5.0 * x[:, 1] + rng.normal(size=4000)
+    for unit in (1.0, 1e-6, 1e-9):
+        rows = [(0, float(a), float(b * unit), 7.0 * unit, float(c)) for (a, b), c in zip(x, y)]
+        df = spark.createDataFrame(rows, "lifetime long, a double, b double, c double, num_transaction double")
+        fit = regress.fit_by_group(df, ["a", "b", "c"]).first()
+        assert fit["rank"] == 2 and fit["b_2"] == 0.0
+        assert abs(fit["b_0"] - 3.0) < 0.1 and abs(fit["b_1"] * unit - 5.0) < 0.1
+
+
+def test_standardize_constant_column_is_null(spark):
+    df = spark.createDataFrame([(1, 2.0), (2, 2.0)], "user1 long, v double")
+    assert {r.std_v for r in regress.standardize(df, "v").collect()} == {None}
+
+
+def test_pagerank_reports_no_convergence_and_takes_no_edges(spark):
+    path = [(i, i + 1) for i in range(60)]
+    edges = spark.createDataFrame(path + [(b, a) for a, b in path], "src long, dst long")
+    with pytest.raises(RuntimeError, match="did not reach"):
+        rank.pagerank(edges, max_iter=2, tol=1e-12)
+    assert rank.pagerank(edges.limit(0)).count() == 0
