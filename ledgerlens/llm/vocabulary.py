@@ -108,6 +108,24 @@ class Memo:
         return fresh
 
 
+class Known(dict):
+    """A bounded table that works out what it lacks when asked, in two generations like :class:`Memo`."""
+
+    def __init__(self, limit: int, make):
+        super().__init__()
+        self.limit, self.make, self.older = limit, make, {}
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def share(spark: SparkSession, path: str):
     """Broadcast a vocabulary file (its size does not depend on the input)."""
     return spark.sparkContext.broadcast(Path(path).read_bytes())

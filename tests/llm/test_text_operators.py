@@ -4,7 +4,9 @@ import hashlib
 import random
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import bpe_codec, language, packing, pii, queries, repetition, token_count
-from ledgerlens.llm.vocabulary import Memo
+from ledgerlens.llm.vocabulary import Known, Memo
 
 SF = "/root/testdata/sf0.001"
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +59,19 @@ def test_token_counts_equal_library(odd):
         assert (got[i].n_bytes, got[i].n_tokens, got[i].over_limit) == (len((text or "").encode()), n, n > 1024)
 
 
+def test_known_is_bounded_and_packing_ids_are_the_librarys():
+    known = Known(3, str.upper)
+    for key in "abcabdefga":
+        assert known[key] == key.upper() and len(known) <= 3 and len(known.older) <= 3
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    texts = ["", None, "Ñandú's WE'LL x<|endoftext|>y  \u0130\x1c\x85z", "\u03a3\u0391\u03a3 e\u0301 \u0301x", "\x7f\x00\xad", "ab" * 3000, "12\u00b3!?"]
+    want = [array("I", [*library.encode(t or "", add_special_tokens=False).ids, 1]).tobytes() for t in texts]
+    assert packing.Encoder(Path(path).read_bytes()).ids(texts) == want
+
+
 def test_memo_forgets_rare_and_keeps_asked_for():
     memo = Memo(4)
     for k in range(50):
