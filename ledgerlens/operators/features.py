@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.clock import dual_clock, running_window, sender_days, sender_spine
 from ledgerlens.operators.graph import cum_friends, cum_fof, cum_triangles, first_met, fof_new, graph_of
-from ledgerlens.operators.profile import dynamic_profile, running_profile, spending_profile
+from ledgerlens.operators.profile import dynamic_profile, running_profile
 from ledgerlens.operators.rank import page_rank
 from ledgerlens.schema import DAYS_PER_MONTH, MAX_LIFETIME, PROFILE_COLUMNS
 
@@ -146,13 +146,11 @@ def network_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """average spending profile of the contacts known by each month.
 
     hop 1 = friends first met by the month, hop 2 = new friends-of-friends
-    reached by the month (E12).  A contact's profile is its whole-period
-    spending profile (D2, missing shares as 0).  One row per (user1,
-    lifetime, hop) from the first month with a contact on.
-
-    Contacts are summed per month of first contact, then running sums over
-    the 13-month panel of each (user1, hop) give the averages; contacts are
-    never copied into every later month.
+    reached by the month (E12).  A contact's profile in month m is its running
+    profile (D8) of the last month of its own clock, up to m, in which it was
+    active, so no later payment enters.  A contact without an active month by
+    then does not count.  One row per (user1, lifetime, hop) from the first
+    month with such a contact on.
     """
     friends = first_met(payments).select("user1", F.col("user2").alias("contact"), "lifetime", F.lit(1).alias("hop"))
     fofs = (
@@ -160,29 +158,19 @@ def network_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
         .select("user1", F.col("friend_of_friend").alias("contact"), "lifetime", F.lit(2).alias("hop"))
     )
     contacts = friends.unionByName(fofs).where(F.col("lifetime") <= MAX_LIFETIME)
-    prof = spending_profile(payments, dictionary).select(
-        F.col("user1").alias("contact"), *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in PROFILE_COLUMNS]
-    )
-    monthly = (
-        contacts.join(prof, "contact")
-        .groupBy("user1", "hop", "lifetime")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in PROFILE_COLUMNS])
+    # A profile row holds from its month until the next active month of the contact.
+    following = F.lead("lifetime").over(Window.partitionBy("user1").orderBy("lifetime"))
+    last = F.coalesce(following - 1, F.lit(MAX_LIFETIME).cast("bigint"))
+    prof = (
+        running_profile(payments, dictionary)
+        .withColumn("last", last)
+        .select(F.col("user1").alias("contact"), F.explode(F.sequence("lifetime", "last")).alias("lifetime"), *PROFILE_COLUMNS)
     )
-    months = F.sequence(F.lit(0).cast("bigint"), F.lit(MAX_LIFETIME).cast("bigint"))
-    spine = monthly.groupBy("user1", "hop").agg(F.min("lifetime").alias("first")).select(
-        "user1", "hop", "first", F.explode(months).alias("lifetime")
-    ).where(F.col("lifetime") >= F.col("first"))
-    w = (
-        Window.partitionBy("user1", "hop")
-        .orderBy("lifetime")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    known = contacts.select(
+        "user1", "contact", "hop", F.explode(F.sequence("lifetime", F.lit(MAX_LIFETIME).cast("bigint"))).alias("lifetime")
     )
-    panel = spine.join(monthly, ["user1", "hop", "lifetime"], "left")
-    n_run = F.sum("n").over(w)
-    return panel.select(
-        "user1",
-        "lifetime",
-        "hop",
-        n_run.alias("n_contacts"),
-        *[(F.sum(c).over(w) / n_run).alias(c) for c in PROFILE_COLUMNS],
+    return (
+        known.join(prof, ["contact", "lifetime"])
+        .groupBy("user1", "lifetime", "hop")
+        .agg(F.count(F.lit(1)).alias("n_contacts"), *[F.avg(c).alias(c) for c in PROFILE_COLUMNS])
     )

@@ -28,8 +28,6 @@ from ledgerlens.session import materialize
 
 # Split and feature lists.
 TRAIN_BUCKETS = 7  # of 10 hash buckets → 70 / 30
-SPLIT_MODULUS = 1_000_003
-SPLIT_MULTIPLIER = 7919
 LABEL = "num_transaction"
 NETWORK_FEATURES = ["num_friends", "num_friends_of_friends", "num_triangles", "page_rank"]
 MODEL_FEATURES = {
@@ -46,7 +44,9 @@ MAX_GROUPS = 10_000
 
 
 def split_column(user_col: str = "user1") -> F.Column:
-    bucket = F.pmod(F.pmod(F.col(user_col), F.lit(SPLIT_MODULUS)) * F.lit(SPLIT_MULTIPLIER), F.lit(10))
+    """Bucket 0..9 from the leading hexadecimal digits of the id's MD5, which any engine can compute."""
+    digest = F.md5(F.col(user_col).cast("string").cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10
     return F.when(bucket < TRAIN_BUCKETS, F.lit("train")).otherwise(F.lit("test"))
 
 
@@ -197,10 +197,12 @@ def coefficient_table(df: DataFrame, features: list[str], label: str = LABEL) ->
     model = LinearRegression(solver="normal", labelCol="label", featuresCol="features").fit(data)
     names = [*features, "intercept"]
     coefs = [float(v) for v in model.coefficients] + [float(model.intercept)]
-    try:
+    # MLlib has no standard errors for a design that is not of full rank.
+    fit = fit_by_group(train.withColumn("_all", F.lit(0).cast("bigint")), features, label, "_all").first()
+    if fit is not None and fit["rank"] == len(features) and fit["n_train"] > len(names):
         se = [float(v) for v in model.summary.coefficientStandardErrors]
         pv = [float(v) for v in model.summary.pValues]
-    except Exception:  # noqa: BLE001 - rank-deficient design: no standard errors
+    else:
         se = [None] * len(names)
         pv = [None] * len(names)
     rows = list(zip(names, coefs, se, pv))

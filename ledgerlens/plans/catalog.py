@@ -27,6 +27,7 @@ PAGERANK_ROUNDS = 20
 RANK_DIGITS = 12
 MSE_DIGITS = 6
 Z_DIGITS = 9
+SHARE_DIGITS = 7
 
 
 def _p(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +310,10 @@ def q_model4_input(spark, d):
 
 
 def q_network_profile(spark, d):
-    return _round(features.network_profile(*_pd(spark, d)), PROFILE_COLUMNS, Z_DIGITS)
+    # Averages of hundredths often end in an exact half; the nudge lets both engines round it up.
+    out = features.network_profile(*_pd(spark, d))
+    nudged = out.select("user1", "lifetime", "hop", "n_contacts", *[(F.col(c) + 1e-11).alias(c) for c in PROFILE_COLUMNS])
+    return _round(nudged, PROFILE_COLUMNS, SHARE_DIGITS)
 
 
 def q_train_test_split(spark, d):

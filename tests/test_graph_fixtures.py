@@ -156,3 +156,13 @@ def test_fof_exclusion_modes(make_payments):
     assert same[(A, C)] == 1  # direct friendship began in month 0, not month 1
     assert (A, C) not in known  # already a friend by month 1
     assert same[(A, None)] == 0 and known[(A, None)] == 0
+
+
+def test_network_profile_sees_no_later_payment(spark, make_payments):
+    """B pays for food on day 0 (its month 0) and for transport on day 45 (its month 2)."""
+    from ledgerlens.sources import fixture_dictionary
+
+    p = make_payments([(B, A, 0, "cold"), (B, C, 45, "rod")])
+    rows = features.network_profile(p, fixture_dictionary(spark)).where("hop = 1")
+    of_a = {r.lifetime: (r.n_contacts, r.Food, r.Transportation) for r in rows.where(f"user1 = {A}").collect()}
+    assert of_a == {m: (1, 1.0, 0.0) if m < 2 else (1, 0.5, 0.5) for m in range(13)}
