@@ -3,7 +3,7 @@
 The generated tables give a ring-shaped graph (degree ≤ 40, no hubs).  Here a
 seeded random log with one hub holding ~40% of the payments, many same-day
 ties and mixed descriptions is fed to every catalogued query and to its
-DuckDB oracle (literal-shape SQL) on the same rows.
+DuckDB oracle on the same rows.
 """
 
 import datetime as dt
@@ -13,7 +13,6 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as entry
 from ledgerlens.plans import catalog, oracle
 from ledgerlens.schema import PAYMENT_SCHEMA
 from tools.oracle_check import rows_of
@@ -53,12 +52,12 @@ def case(request, spark):
     return sdf, con
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(oracle.ORACLE) - SKIP))
 def test_random_log_matches_oracle(spark, case, name, monkeypatch):
     sdf, con = case
     # Each query gets a fresh DataFrame object (as in the catalogue).
     monkeypatch.setattr(catalog, "stored_payments", lambda s, d: sdf.select("*"))
-    sql = entry.oracle_sql()[name].replace(oracle.CTES["payments"][0], "SELECT * FROM fixture_payments")
+    sql = oracle.ORACLE[name].replace(oracle.CTES["payments"][0], "SELECT * FROM fixture_payments")
     got = catalog.QUERIES[name](spark, "unused")
     sc, sr = rows_of(got.columns, [tuple(r) for r in got.collect()])
     res = con.execute(sql)
