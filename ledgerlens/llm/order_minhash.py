@@ -21,7 +21,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,37 +71,56 @@ def shingles(words: np.ndarray, owner: np.ndarray, lengths: np.ndarray) -> tuple
     return _mix(value + label * np.uint64(0x9E3779B97F4A7C15)), owner
 
 
-def sketches(texts: list[str | None]) -> list[list[int] | None]:
-    """The order sketches of each text; None without a word."""
+def word_hashes(words: list[str]) -> np.ndarray:
+    """A hash of each word: a polynomial of its UTF-8 bytes, mixed.  No word holds a space."""
+    data = np.frombuffer(" ".join(words).encode("utf-8", "surrogatepass"), np.uint8)
+    gap = np.flatnonzero(data == 32)
+    start = np.r_[0, gap + 1]
+    length = np.diff(np.r_[start, len(data) + 1])
+    power = np.full(int(length.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    term = power[np.arange(len(data) + 1) - np.repeat(start, length)][: len(data)]
+    term *= data.astype(np.uint64) + np.uint64(1)
+    term[gap] = 0
+    return _mix(np.add.reduceat(term, start))
+
+
+def sketches(texts: list[str | None]) -> tuple[list[int], list[list[int] | None]]:
+    """The number of words of each text, and its order sketches (None without a word)."""
     split = [(t or "").lower().split() for t in texts]
-    code: dict[str, int] = {}
-    flat = np.array([code.setdefault(w, len(code)) for ws in split for w in ws], np.int64)
+    counts = [len(ws) for ws in split]
     out: list[list[int] | None] = [None] * len(texts)
-    if not len(flat):
-        return out
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in code], np.uint64)
-    lengths = np.array([len(ws) for ws in split], np.int64)
-    value, owner = shingles(hashes[flat], np.repeat(np.arange(len(texts)), lengths), lengths)
+    if not any(counts):
+        return counts, out
+    hashes = word_hashes([w for ws in split for w in ws])
+    lengths = np.array(counts, np.int64)
+    value, owner = shingles(hashes, np.repeat(np.arange(len(texts)), lengths), lengths)
     start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     size = np.diff(np.r_[start, len(owner)])
     docs = owner[start]
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    # the low bits of a key hold the place in the document, so a minimum brings its place along
+    low = (np.uint64(1) << np.ceil(np.log2(size + 1)).astype(np.uint64)) - np.uint64(1)
+    place = (np.arange(len(value)) - np.repeat(start, size)).astype(np.uint64)
+    high = ~np.repeat(low, size)
     made = np.zeros((len(docs), FUNCTIONS), np.uint64)
     for j in range(FUNCTIONS):
-        key = _mix(value ^ _mix(np.array([j + 1], np.uint64))) >> np.uint64(1)
-        places = []
-        for _ in range(2):
-            low = np.minimum.reduceat(key, start)
-            hit = np.flatnonzero(key == np.repeat(low, size))
-            hit = hit[np.searchsorted(hit, start)]
-            places.append(hit)
-            key[hit] = top
-        # with one shingle the second search finds the first again
-        a, b = np.minimum(*places), np.maximum(*places)
+        salt, factor = _mix(np.array([2 * j + 1, 2 * j + 2], np.uint64))
+        key = value ^ salt
+        key *= factor | np.uint64(1)
+        key ^= key >> np.uint64(32)
+        key &= high
+        key |= place
+        a = start + (np.minimum.reduceat(key, start) & low).astype(np.int64)
+        key[a] = top
+        b = start + np.minimum((np.minimum.reduceat(key, start) & low).astype(np.int64), size - 1)
+        b = np.where(size == 1, a, b)
+        a, b = np.minimum(a, b), np.maximum(a, b)
         made[:, j] = _mix(value[a] * np.uint64(3) + _mix(value[b]) + np.uint64(j))
     for doc, row in zip(docs, made.view(np.int64).tolist()):
         out[doc] = row
-    return out
+    return counts, out
 
 
 def edit_limit(n: int, m: int, similarity: float = SIMILARITY) -> int:
@@ -233,9 +251,9 @@ def near_duplicates(
 
     def make():
         def work(texts):
-            made = sketches(texts)
+            words, made = sketches(texts)
             digests = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() if s else None for t, s in zip(texts, made)]
-            return None, [digests, [len((t or "").split()) for t in texts], made]
+            return None, [digests, words, made]
 
         return work
 
