@@ -7,7 +7,7 @@ share shingles in the same order.  Equal texts are one class from the start.
 
 Classes that share a sketch of one of the first ``KEYS`` functions form a bucket.
 Round one checks every class against its buckets' smallest member.  Round two
-checks, in blocks, every pair of a bucket that round one left in different
+checks, in blocks, the pairs of a bucket that are still in different
 components; there is no cap.  A pair is a candidate if ``MIN_AGREE`` sketches
 agree, and a link if a banded alignment of the two whole word sequences shows
 an edit similarity of ``SIMILARITY`` or more.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import col, map_texts
-from ledgerlens.llm.components import components
+from ledgerlens.llm.components import Forest, components
 from ledgerlens.session import materialize
 
 SHINGLE = 5
@@ -37,6 +37,10 @@ KEYS = 12
 MIN_AGREE = 6
 #: members of a bucket that are compared with as many others at once
 BLOCK = 512
+#: words of a block, where its members are long
+BLOCK_WORDS = 1_000_000
+#: candidates that a pair of blocks aligns before it looks again at what they joined
+PAIRS = 256
 #: cells of the alignment band that a batch of pairs holds at once
 BAND_CELLS = 500_000
 
@@ -267,15 +271,18 @@ def near_duplicates(
         "classes",
     )
     keyed = materialize(
-        classes.select("class", F.posexplode(F.slice("sketch", 1, KEYS)).alias("j", "s")).select(
-            "class", F.xxhash64("j", "s").alias("key")
+        classes.select("class", "words", F.posexplode(F.slice("sketch", 1, KEYS)).alias("j", "s")).select(
+            "class", "words", "j", F.xxhash64("j", "s").alias("key")
         ),
         "keys",
     )
     buckets = materialize(
-        keyed.groupBy("key").agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets"
+        keyed.groupBy("key")
+        .agg(F.min("class").alias("leader"), F.count(F.lit(1)).alias("n"), F.sum("words").alias("total"))
+        .where("n > 1"),
+        "buckets",
     )
-    members = materialize(keyed.join(buckets, "key"), "members")
+    members = materialize(keyed.drop("words").join(buckets, "key"), "members")
     sides = {
         s: classes.select(F.col("class").alias(s), F.col("words").alias(f"w_{s}"), F.col("sketch").alias(f"s_{s}")) for s in "uv"
     }
@@ -291,9 +298,7 @@ def near_duplicates(
     docs = df.select(col(id_col).alias("id"), col(text_col).alias("text"))
     links = _verified(stars, docs, similarity)
     found = components(links)
-    rest = _cross_pairs(members, classes, found, similarity)
-    rest = materialize(rest.join(stars, ["u", "v"], "left_anti"), "rest")
-    more = _verified(rest, docs, similarity)
+    more = materialize(_cross_links(members, classes, docs, found, similarity), "links")
     found = components(links.unionByName(more))
     grouped = materialize(
         classes.join(found.select(F.col("node").alias("class"), "root"), "class", "left").select(
@@ -313,36 +318,77 @@ def near_duplicates(
     )
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs of a bucket whose classes are in different components so far."""
+def _cross_links(members: DataFrame, classes: DataFrame, docs: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Links between classes of a bucket that are in different components so far.
+
+    A pair belongs to the bucket of the first function whose sketches agree, so
+    it is compared once.  A pair of blocks aligns its candidates, those that
+    agree most first, and passes over pairs that its own links have joined by
+    then: a spanning forest leaves the task, not all pairs.
+    """
     known = found.select(F.col("node").alias("class"), "root")
     placed = materialize(
-        members.join(known, "class", "left").select("key", "class", "n", F.coalesce("root", "class").alias("part")), "placed"
+        members.join(known, "class", "left").select("key", "j", "class", "leader", "n", "total", F.coalesce("root", "class").alias("part")),
+        "placed",
     )
     split = materialize(
         placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("key"), "split"
     )
     rows = materialize(placed.join(split, "key"), "open")
-    rows = rows.join(classes.select("class", "words", "sketch"), "class")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    wanted = rows.select(F.col("class").alias("id")).distinct()
+    texts = docs.join(wanted.hint("shuffle_hash"), "id").dropDuplicates(["id"]).withColumnRenamed("id", "class")
+    texts = materialize(texts.join(classes.select("class", "words", "sketch"), "class"), "candidates")
+    rows = rows.join(texts, "class")
+    blocks = F.ceil(F.greatest(F.col("n") / F.lit(BLOCK), F.col("total") / F.lit(BLOCK_WORDS))).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("b", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     # a block meets every block of its bucket once
     met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
-        "key", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "b", "class", "part", "words", "sketch"
+        "key",
+        F.least("b", "other").alias("lo"),
+        F.greatest("b", "other").alias("hi"),
+        "b",
+        "j",
+        "class",
+        "leader",
+        "part",
+        "words",
+        "sketch",
+        "text",
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        sides = [group[group["b"] == i], group[group["b"] == j]]
-        sketch = [np.array(s["sketch"].tolist(), np.int64).reshape(len(s), -1) for s in sides]
-        ids, part, words = ([s[c].to_numpy() for s in sides] for c in ("class", "part", "words"))
-        out = []
-        for k in range(len(ids[0])):
-            agree = (sketch[1] == sketch[0][k]).sum(1)
-            size, other = words[0][k], words[1]
-            ok = (agree >= MIN_AGREE) & (part[1] != part[0][k]) & (np.minimum(size, other) >= np.floor(similarity * np.maximum(size, other)))
-            out += [(min(ids[0][k], x), max(ids[0][k], x)) for x in ids[1][ok]]
-        return pd.DataFrame(sorted(set(out)), columns=["u", "v"], dtype="int64")
-
-    return met.groupBy("key", "i", "j").applyInPandas(compare, "u long, v long").distinct()
+        lo, hi, j, leader = (group[c].iloc[0] for c in ("lo", "hi", "j", "leader"))
+        group = group.sort_values(["b", "class"], ignore_index=True)
+        ids, part, size = (group[c].to_numpy() for c in ("class", "part", "words"))
+        sketch = np.array(group["sketch"].tolist(), np.int64)
+        others = np.arange(len(group)) if lo == hi else np.flatnonzero(group["b"].to_numpy() == hi)
+        mine = others if lo == hi else np.flatnonzero(group["b"].to_numpy() == lo)
+        pairs: list[tuple[int, int, int]] = []
+        for k in mine:
+            rest = others[others > k]
+            # the leader has been compared with all its bucket
+            rest = rest[(part[rest] != part[k]) & (ids[rest] != leader) & (ids[k] != leader)]
+            rest = rest[np.minimum(size[rest], size[k]) >= np.floor(similarity * np.maximum(size[rest], size[k]))]
+            same = sketch[rest] == sketch[k]
+            agree = same.sum(1)
+            ok = (agree >= MIN_AGREE) & (same[:, :KEYS].argmax(1) == j)
+            pairs += [(-int(n), int(k), int(x)) for n, x in zip(agree[ok], rest[ok])]
+        pairs.sort()
+        code: dict[str, int] = {}
+        coded: dict[int, np.ndarray] = {}
+
+        def words(i: int) -> np.ndarray:
+            if i not in coded:
+                coded[i] = np.array([code.setdefault(w, len(code)) for w in group["text"].iloc[i].lower().split()], np.int64)
+            return coded[i]
+
+        forest, out = Forest(), []
+        for at in range(0, len(pairs), PAIRS):
+            batch = [(u, v) for _, u, v in pairs[at : at + PAIRS] if forest.find(part[u]) != forest.find(part[v])]
+            for (u, v), linked in zip(batch, alignments([(words(u), words(v)) for u, v in batch], similarity)):
+                if linked and forest.join(part[u], part[v]):
+                    out.append((min(ids[u], ids[v]), max(ids[u], ids[v])))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    return met.groupBy("key", "lo", "hi").applyInPandas(compare, "u long, v long").distinct()
