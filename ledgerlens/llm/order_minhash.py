@@ -6,11 +6,11 @@ order, are that function's sketch, so texts agree in a sketch only if they
 share shingles in the same order.  Equal texts are one class from the start.
 
 Classes that share a sketch of one of the first ``KEYS`` functions form a bucket.
-Round one checks every class against its buckets' smallest member.  Round two
-checks, in blocks, the pairs of a bucket that are still in different
-components; there is no cap.  A pair is a candidate if ``MIN_AGREE`` sketches
-agree, and a link if a banded alignment of the two whole word sequences shows
-an edit similarity of ``SIMILARITY`` or more.
+Round one checks every class against those of its buckets' smallest members
+with which ``MIN_AGREE`` sketches agree.  Round two checks, in blocks, all other
+pairs of a bucket that are still in different components; there is no cap, and
+agreement only orders the work.  A pair is a link if a banded alignment of the
+two whole word sequences shows an edit similarity of ``SIMILARITY`` or more.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ from ledgerlens.session import materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 FUNCTIONS = 24
-#: functions whose sketches form buckets: at a shingle similarity of 0.8 all miss with 0.36**12
-KEYS = 12
-#: agreeing sketches of a candidate: at 0.8 fewer have a chance of about 1e-5
+#: functions whose sketches form buckets: at a shingle similarity of 0.8 all miss with 0.36**24, at 0.4 with 0.84**24
+KEYS = 24
+#: agreeing sketches that put a pair with a bucket's smallest member into round one; the others wait for round two
 MIN_AGREE = 6
 #: members of a bucket that are compared with as many others at once
 BLOCK = 512
@@ -41,6 +41,8 @@ BLOCK = 512
 BLOCK_WORDS = 1_000_000
 #: candidates that a pair of blocks aligns before it looks again at what they joined
 PAIRS = 256
+#: cells of a text's word histogram, by which pairs are passed over before they are aligned
+CELLS = 1024
 #: cells of the alignment band that a batch of pairs holds at once
 BAND_CELLS = 500_000
 
@@ -364,17 +366,18 @@ def _cross_links(members: DataFrame, classes: DataFrame, docs: DataFrame, found:
         sketch = np.array(group["sketch"].tolist(), np.int64)
         others = np.arange(len(group)) if lo == hi else np.flatnonzero(group["b"].to_numpy() == hi)
         mine = others if lo == hi else np.flatnonzero(group["b"].to_numpy() == lo)
-        pairs: list[tuple[int, int, int]] = []
+        met_here = []
         for k in mine:
             rest = others[others > k]
-            # the leader has been compared with all its bucket
-            rest = rest[(part[rest] != part[k]) & (ids[rest] != leader) & (ids[k] != leader)]
+            rest = rest[part[rest] != part[k]]
             rest = rest[np.minimum(size[rest], size[k]) >= np.floor(similarity * np.maximum(size[rest], size[k]))]
             same = sketch[rest] == sketch[k]
             agree = same.sum(1)
-            ok = (agree >= MIN_AGREE) & (same[:, :KEYS].argmax(1) == j)
-            pairs += [(-int(n), int(k), int(x)) for n, x in zip(agree[ok], rest[ok])]
-        pairs.sort()
+            # round one has compared the leader with those that agree enough
+            known = ((ids[rest] == leader) | (ids[k] == leader)) & (agree >= MIN_AGREE)
+            ok = ~known & (same[:, :KEYS].argmax(1) == j)
+            if ok.any():
+                met_here.append((k, rest[ok], agree[ok]))
         code: dict[str, int] = {}
         coded: dict[int, np.ndarray] = {}
 
@@ -383,6 +386,20 @@ def _cross_links(members: DataFrame, classes: DataFrame, docs: DataFrame, found:
                 coded[i] = np.array([code.setdefault(w, len(code)) for w in group["text"].iloc[i].lower().split()], np.int64)
             return coded[i]
 
+        # words without a counterpart bound the edits from below, also when several words share a cell
+        involved = np.unique(np.concatenate([np.r_[k, rest] for k, rest, _ in met_here])) if met_here else []
+        place = {int(i): p for p, i in enumerate(involved)}
+        cells = np.zeros((len(involved), CELLS), np.int32)
+        for i, p in place.items():
+            cells[p] = np.bincount(words(i) % CELLS, minlength=CELLS)
+        pairs: list[tuple[int, int, int]] = []
+        for k, rest, agree in met_here:
+            common = np.minimum(cells[place[int(k)]], cells[[place[int(x)] for x in rest]]).sum(1)
+            longer = np.maximum(size[rest], size[k])
+            ok = longer - common <= (1 - similarity) * longer + 1e-9
+            pairs += zip((-agree[ok]).tolist(), [int(k)] * int(ok.sum()), rest[ok].tolist())
+        pairs.sort()
+
         forest, out = Forest(), []
         for at in range(0, len(pairs), PAIRS):
             batch = [(u, v) for _, u, v in pairs[at : at + PAIRS] if forest.find(part[u]) != forest.find(part[v])]
