@@ -23,7 +23,8 @@ _domain = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _ip = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _card = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_iban = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_iban = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}))")
+_ends = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
 # Words that make a kind more, or any kind less, likely nearby.
 CONTEXT = {
     "email": ("email", "e-mail", "mail", "contact", "write"),
@@ -76,6 +77,21 @@ def _tail(run: str) -> int:
     return len(run) - n
 
 
+def _ibans(text: str):
+    """Accounts: of the ends of words after a start, the last one up to which mod-97 holds."""
+    done = 0
+    for m in _iban.finditer(text):
+        a, b = m.span(1)
+        if a < done:
+            continue
+        for end in reversed([e.start() for e in _ends.finditer(text, a, min(b + 1, len(text))) if e.start() <= b]):
+            # 4 and at least 11 characters
+            if end - a - text.count(" ", a, end) >= 15 and mod97(text[a:end]):
+                yield a, end
+                done = end
+                break
+
+
 def _octet(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and (not part or int(part) < 256)
@@ -95,7 +111,7 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
                     out.append(("card", *m.span()))
         if "+" in text:
             out += [("phone", *m.span()) for m in _phone.finditer(text) if 8 <= len(_digits.findall(m.group())) <= 15]
-        out += [("iban", *m.span()) for m in _iban.finditer(text) if mod97(m.group())]
+        out += [("iban", a, b) for a, b in _ibans(text)]
     return out
 
 

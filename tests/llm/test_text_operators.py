@@ -122,6 +122,19 @@ def test_pii_added_kind_context_and_redaction(spark, odd):
     assert pii.redact(docs).columns == docs.columns
 
 
+def test_pii_accounts_end_where_the_checksum_holds():
+    german, british = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    for before, after in (("", ""), ("pay ", " BIC COBADEFFXXX"), ("", " EUR 50"), ("(", ") 12"), ("", " 7 A B C D E F G H I"), ("AB12 ", ".")):
+        for account in (german, british):
+            text = before + account + after
+            assert [(k, text[a:b]) for k, a, b in pii.spans(text) if k == "iban"] == [("iban", account)], text
+    text = f"{german} {british} EUR 50 {german}"
+    assert [text[a:b] for k, a, b in pii.spans(text) if k == "iban"] == [german, british, german]
+    for text in (f"{german}1", f"{german}x", f"x{german}", f"1{german}", german[:-1], german.replace("89", "88") + " BIC"):
+        assert not any(k == "iban" for k, _, _ in pii.spans(text)), text
+    assert not any(k == "iban" for k, _, _ in pii.spans("AB12 " * 40_000))
+
+
 def _repetition(text, least):
     """Brute force over all pairs of places."""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
