@@ -24,6 +24,17 @@ def col(name: str) -> F.Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def finite_vector(name: str) -> F.Column:
+    """True where a vector is not null and holds no null or non-finite component."""
+    ok = F.forall(col(name).cast("array<double>"), lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
+    return F.coalesce(ok, F.lit(False))
+
+
+def integer_components(name: str, scale: int = 256) -> F.Column:
+    """floor(scale * component) of a vector, each component taken as a double."""
+    return F.transform(col(name).cast("array<double>"), lambda e: F.floor(e * scale))
+
+
 def map_texts(
     df: DataFrame,
     text_col: str,

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, over whole tables and whole texts."""
+"""Registered queries of the operators, over whole tables and whole texts."""
 
 from __future__ import annotations
 
@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe_codec, cover_tree, language, line_templates, order_minhash, packing, pii, repetition, shards, token_count
+from ledgerlens.llm import (
+    bpe_codec,
+    centroids,
+    cover_tree,
+    hard_negatives,
+    language,
+    line_templates,
+    mixing,
+    order_minhash,
+    packing,
+    pii,
+    repetition,
+    shards,
+    token_count,
+)
 from ledgerlens.llm.common import table
 
 
@@ -58,6 +72,19 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shuffle_into_shards(slim, 16).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the number of distances computed depends on the pivots, so it is no part of the result
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("n_checked")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,7 +98,14 @@ QUERIES = {
         op8_packing,
         op9_bpe_codec,
         op10_shards,
+        op11_mixing,
+        op12_centroids,
+        op13_hard_negatives,
     )
 }
 
-ORACLE = {"op3_line_templates": line_templates.SQL}
+ORACLE = {
+    "op3_line_templates": line_templates.SQL,
+    "op12_centroids": centroids.sql(),
+    "op13_hard_negatives": hard_negatives.SQL,
+}
