@@ -4,8 +4,7 @@ A vector is rotated and coded by the signs of its components.  With the
 unit code vector s, the stored alignment a = <v, s> splits it into v = a s + r,
 r orthogonal to s, so that <q, v> = a <q, s> + <q, r>.  The first part comes from
 popcounts of the code against the bit planes of the quantised query; the second
-is at most |q'| |r| by Cauchy-Schwarz, q' being the part of q orthogonal to s.
-That interval is certain, not probable.  The residual r is rotated and coded in
+is at most |q| |r| by Cauchy-Schwarz.  That interval is certain, not probable.  The residual r is rotated and coded in
 turn (``LEVELS`` codes in all), each code leaving about 0.6 of |r|; a row is looked
 at level by level as long as its interval can still decide the answer.  Rows whose intervals survive
 are scored by the exact integer product.
@@ -31,7 +30,7 @@ LEVELS = 7
 #: bits of a query component
 QUERY_BITS = 8
 #: rows and anchors of a block, about
-BLOCK_ROWS, BLOCK_ANCHORS = 2048, 1024
+BLOCK_ROWS, BLOCK_ANCHORS = 8192, 1024
 #: most shuffle partitions asked for; beyond it a task handles several pairs of blocks in turn
 MAX_TASKS = 20_000
 #: share of |q| |v| added to every interval for the rounding of its floating-point steps
@@ -62,16 +61,20 @@ def pack(bits: np.ndarray) -> np.ndarray:
 
 
 class Codes:
-    """One-bit codes of vectors, the alignment of each, and the norm of what it leaves."""
+    """One-bit codes of a block's vectors, the alignment of each, and bounds of what it leaves."""
 
     def __init__(self, dim: int, bits: np.ndarray, reals: np.ndarray):
-        self.dim, self.root = dim, np.sqrt(max(dim, 1))
-        levels = bits.shape[1]
-        self.bits = [np.ascontiguousarray(bits[:, level]) for level in range(levels)]
-        self.ones = [np.bitwise_count(b).sum(1).astype(np.int64) for b in self.bits]
-        self.norm = reals[:, 0]
-        self.align = [reals[:, 1 + level] for level in range(levels)]
-        self.left = [reals[:, 1 + levels + level] for level in range(levels)]
+        self.dim, self.levels = dim, bits.shape[1]
+        self.bits = [np.ascontiguousarray(bits[:, level]) for level in range(self.levels)]
+        norm, align, left = reals[:, 0], reals[:, 1 : 1 + self.levels], reals[:, 1 + self.levels :]
+        root = np.sqrt(max(dim, 1))
+        self.align = [align[:, level] / root for level in range(self.levels)]
+        ones = [np.bitwise_count(b).sum(1).astype(np.int64) for b in self.bits]
+        #: ones less zeros of a code, times its alignment
+        self.signs = [(2 * n - dim) * a for n, a in zip(ones, self.align)]
+        #: what a unit of the query's quantising loss, and a unit of its norm, add to the interval
+        self.spread = list(np.cumsum(align, axis=1).T.copy())
+        self.left = [left[:, level] + ROUNDING * norm for level in range(self.levels)]
 
     @staticmethod
     def of(x: np.ndarray, turns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -89,61 +92,56 @@ class Codes:
         return np.stack(bits, axis=1), np.stack([np.linalg.norm(x, axis=1), *align, *left], axis=1)
 
 
-class Planes:
-    """Components of a turned query, quantised, as bit planes."""
-
-    def __init__(self, turned: np.ndarray):
-        self.low = float(turned.min(initial=0.0))
-        self.step = max((float(turned.max(initial=0.0)) - self.low) / ((1 << QUERY_BITS) - 1), 1e-300)
-        units = np.clip(np.rint((turned - self.low) / self.step), 0, (1 << QUERY_BITS) - 1).astype(np.int64)
-        self.total = int(units.sum())
-        self.bits = pack((units[None, :] >> np.arange(QUERY_BITS)[:, None]) & 1)
-        # what quantising lost, as a length
-        self.lost = float(np.linalg.norm(turned - (self.low + self.step * units)))
-
-
-class Query:
-    """An anchor, turned and quantised for every level."""
+class Queries:
+    """Anchors turned for every level, their components quantised and laid out as bit planes."""
 
     def __init__(self, q: np.ndarray, turns: list[np.ndarray]):
-        self.norm = float(np.linalg.norm(q))
-        self.levels = []
+        self.norm = np.linalg.norm(q, axis=1)
+        self.low, self.step, self.total, self.planes = [], [], [], []
+        self.lost = np.zeros(len(q))
+        top = (1 << QUERY_BITS) - 1
         for turn in turns:
             q = q @ turn
-            self.levels.append(Planes(q))
-
-    def against(self, codes: Codes, level: int, rows: np.ndarray) -> np.ndarray:
-        """Product of the quantised query with the unit code vectors of one level, by popcounts."""
-        planes, bits = self.levels[level], codes.bits[level][rows]
-        weighted = np.zeros(len(rows), np.int64)
+            low = q.min(axis=1, initial=0.0)
+            step = np.maximum((q.max(axis=1, initial=0.0) - low) / top, 1e-300)
+            units = np.clip(np.rint((q - low[:, None]) / step[:, None]), 0, top).astype(np.int64)
+            self.low.append(low)
+            self.step.append(step)
+            self.total.append(units.sum(1))
+            self.planes.append(pack((units[:, None, :] >> np.arange(QUERY_BITS)[:, None]) & 1))
+            # what quantising lost, as a length
+            left = np.linalg.norm(q - (low[:, None] + step[:, None] * units), axis=1)
+            self.lost = np.maximum(self.lost, left)
+
+    def along(self, i: int, codes: Codes, level: int, rows) -> np.ndarray:
+        """Alignment times the product of quantised anchor ``i`` with the unit code vectors, by popcounts."""
+        planes, bits = self.planes[level][i], codes.bits[level][rows]
+        weighted = np.zeros(len(bits), np.int64)
         for word in range(bits.shape[1]):
-            both = np.bitwise_count(planes.bits[:, word, None] & bits[None, :, word])
+            both = np.bitwise_count(planes[:, word, None] & bits[None, :, word])
             # at most 64 * 255, so 16 bits hold the sum
             weighted += (both.astype(np.uint16) << _SHIFTS).sum(0, dtype=np.uint16)
-        signed = planes.low * (2 * codes.ones[level][rows] - codes.dim) + planes.step * (2 * weighted - planes.total)
-        return signed / codes.root
+        low, step = self.low[level][i], self.step[level][i]
+        return codes.signs[level][rows] * low + codes.align[level][rows] * (2 * step * weighted - step * self.total[level][i])
 
 
-def survivors(query: Query, codes: Codes, rows: np.ndarray, narrow) -> np.ndarray:
-    """Rows whose score may matter.
+def survivors(queries: Queries, i: int, codes: Codes, block: slice, narrow) -> np.ndarray:
+    """Rows of a part of the block whose score with anchor ``i`` may matter.
 
-    ``narrow(low, high)`` says for certain intervals which rows may still decide
-    the answer; it is asked again after every level.
+    ``narrow(rows, low, high)`` says for certain intervals which rows may still
+    decide the answer; it is asked again after every level.
     """
-    part, slack = np.zeros(len(rows)), np.zeros(len(rows))
-    for level in range(len(codes.bits)):
+    rows, at = np.arange(block.start, block.stop), block
+    part = np.zeros(len(rows))
+    for level in range(codes.levels):
         if not len(rows):
             break
-        along = query.against(codes, level, rows)
-        align = codes.align[level][rows]
-        part = part + align * along
-        lost = query.levels[level].lost
-        slack = slack + align * lost
-        inside = np.maximum(np.abs(along) - lost, 0.0)
-        across = np.sqrt(np.maximum(query.norm**2 - inside**2, 0.0))
-        wide = slack + across * codes.left[level][rows] + ROUNDING * query.norm * codes.norm[rows]
-        keep = narrow(part - wide, part + wide)
-        rows, part, slack = rows[keep], part[keep], slack[keep]
+        part = part + queries.along(i, codes, level, at)
+        wide = queries.lost[i] * codes.spread[level][at] + queries.norm[i] * codes.left[level][at]
+        keep = narrow(rows, part - wide, part + wide)
+        if not keep.all():
+            rows, part = rows[keep], part[keep]
+            at = rows
     return rows
 
 
@@ -156,13 +154,18 @@ def at_least(low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
 
 def in_bands(low: np.ndarray, high: np.ndarray, bands: np.ndarray, k: int) -> np.ndarray:
     """Rows that may be among the ``k`` highest inside one of the bands."""
-    keep = np.zeros(len(low), bool)
+    keep = (high >= bands[:, 0].min()) & (low <= bands[:, 1].max())
+    near = np.flatnonzero(keep)
+    low, high = low[near], high[near]
+    if (high - low).min(initial=np.inf) > (bands[:, 1] - bands[:, 0]).max():
+        return keep  # no interval lies inside a band, so none is certain
+    keep[:] = False
     for bottom, top in bands:
         may = (high >= bottom) & (low <= top)
         sure = low[(low >= bottom) & (high <= top)]
         if len(sure) >= k:
             may &= high >= np.partition(sure, len(sure) - k)[len(sure) - k]
-        keep |= may
+        keep[near[may]] = True
     return keep
 
 
@@ -175,9 +178,10 @@ def bands(positive_scores: np.ndarray, share: tuple[int, int] = (50, 95)) -> np.
 
 
 class Block:
-    """Rows of a block with their codes."""
+    """Rows of a block with their codes, ordered by label."""
 
     def __init__(self, frame: pd.DataFrame):
+        frame = frame.sort_values("label", kind="stable")
         n, dim = len(frame), int(frame["dim"].iloc[0])
         self.x = np.frombuffer(b"".join(frame["x"]), np.int64).reshape(n, dim)
         self.row = frame["row"].to_numpy(np.int64)
@@ -191,6 +195,9 @@ class Block:
         self.float = self.x.astype(float) if np.abs(self.x).max(initial=0) < 1 << 22 else None
         self.scored = 0
 
+    def of_label(self, label: int) -> slice:
+        return slice(int(np.searchsorted(self.label, label)), int(np.searchsorted(self.label, label, "right")))
+
     def score(self, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
         self.scored += len(rows)
         if self.float is not None and np.abs(q).max(initial=0) < 1 << 22:  # every step is an exact integer
@@ -205,22 +212,31 @@ class Block:
             at = np.arange(len(score))
         return at[np.lexsort((self.row[rows[at]], self.id[rows[at]], -score[at]))][:k]
 
-    def positives(self, q: np.ndarray, query: Query, anchor_row: int, label: int, k: int):
-        rows = np.flatnonzero((self.label == label) & (self.row != anchor_row))
-        rows = survivors(query, self.codes, rows, lambda low, high: at_least(low, high, k))
+    def positives(self, q: np.ndarray, queries: Queries, i: int, anchor_row: int, label: int, k: int):
+        """The first ``k`` other rows of the anchor's label."""
+
+        def narrow(rows, low, high):
+            other = self.row[rows] != anchor_row
+            keep = other.copy()
+            keep[other] = at_least(low[other], high[other], k)
+            return keep
+
+        rows = survivors(queries, i, self.codes, self.of_label(label), narrow)
         score = self.score(q, rows)
         at = self.first(rows, score, k)
         return rows[at], score[at]
 
-    def negatives(self, q: np.ndarray, query: Query, label: int, limits: np.ndarray, k: int):
+    def negatives(self, q: np.ndarray, queries: Queries, i: int, label: int, limits: np.ndarray, k: int):
         """For each band the first ``k`` rows of another label inside it."""
-        rows = np.flatnonzero(self.label != label)
-        rows = survivors(query, self.codes, rows, lambda low, high: in_bands(low, high, limits, k))
-        score = self.score(q, rows)
-        for n, (bottom, top) in enumerate(limits):
-            inside = np.flatnonzero((score >= bottom) & (score <= top))
-            at = inside[self.first(rows[inside], score[inside], k)]
-            yield n, rows[at], score[at]
+        own = self.of_label(label)
+        for part in (slice(0, own.start), slice(own.stop, len(self.row))):
+            rows = survivors(queries, i, self.codes, part, lambda _, low, high: in_bands(low, high, limits, k))
+            score = self.score(q, rows)
+            for n, (bottom, top) in enumerate(limits):
+                inside = np.flatnonzero((score >= bottom) & (score <= top))
+                at = inside[self.first(rows[inside], score[inside], k)]
+                if len(at):
+                    yield n, rows[at], score[at]
 
 
 def _ids(found: np.ndarray) -> pd.Series:
@@ -318,8 +334,8 @@ def mine(
 
     def near(asking: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for anchor, q, query, block in _each(asking, asked):
-            at, score = block.positives(q, query, anchor.row, anchor.label, positives)
+        for i, anchor, q, queries, block in _each(asking, asked):
+            at, score = block.positives(q, queries, i, anchor.row, anchor.label, positives)
             out.append((anchor.row, block.row[at], block.id[at], score))
         anchor_row, row, ids, score = _columns(out, 4)
         return pd.DataFrame({"anchor_row": anchor_row, "positive_row": row, "positive_id": _ids(ids), "positive_score": score})
@@ -338,8 +354,8 @@ def mine(
 
     def hard(asking: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for anchor, q, query, block in _each(asking, asked):
-            for n, at, score in block.negatives(q, query, anchor.label, bands(anchor.scores), negatives):
+        for i, anchor, q, queries, block in _each(asking, asked):
+            for n, at, score in block.negatives(q, queries, i, anchor.label, bands(anchor.scores), negatives):
                 out.append((anchor.row, n + 1, block.row[at], block.id[at], score))
         anchor_row, place, row, ids, score = _columns(out, 5)
         return pd.DataFrame(
@@ -360,13 +376,14 @@ def mine(
 
 
 def _each(anchors: pd.DataFrame, frame: pd.DataFrame):
-    """Anchors of one pair of blocks, each with its vector, its bit planes and the coded rows."""
+    """Anchors of one pair of blocks, each with its number, its vector, all bit planes and the coded rows."""
     if anchors.empty or frame.empty:
         return
-    block, turns = Block(frame), rotations(int(anchors["dim"].iloc[0]))
-    for anchor in anchors.itertuples(index=False):
-        q = np.frombuffer(anchor.x, np.int64)
-        yield anchor, q, Query(q.astype(float), turns), block
+    block, dim = Block(frame), int(anchors["dim"].iloc[0])
+    x = np.frombuffer(b"".join(anchors["x"]), np.int64).reshape(len(anchors), dim)
+    queries = Queries(x.astype(float), rotations(dim))
+    for i, anchor in enumerate(anchors.itertuples(index=False)):
+        yield i, anchor, x[i], queries, block
 
 
 #: The definition for DuckDB: every anchor against every row.

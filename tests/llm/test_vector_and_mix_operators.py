@@ -221,25 +221,20 @@ def test_intervals_hold_and_prune():
     x = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True))
     turns = hard_negatives.rotations(64)
     codes = hard_negatives.Codes(64, *hard_negatives.Codes.of(x, turns))
-    assert (codes.left[-1] < 0.05 * codes.norm).all()
-    scored, limits = 0, np.array([[9000, 17000]])
-    for q in x[:40]:
-        exact = x @ q
-        seen = []
-
-        def check(low, high):
-            at = rows_now[-1]
-            assert (low <= exact[at]).all() and (exact[at] <= high).all()
-            keep = hard_negatives.in_bands(low, high, limits, 3)
-            rows_now.append(at[keep])
-            seen.append(len(at))
-            return keep
-
-        rows_now = [np.arange(len(x))]
-        query = hard_negatives.Query(q, turns)
-        left = hard_negatives.survivors(query, codes, rows_now[0], check)
-        inside = np.flatnonzero((exact >= 9000) & (exact <= 17000))
-        assert set(inside[np.argsort(-exact[inside], kind="stable")[:3]]) <= set(left)
+    assert (codes.left[-1] < 0.05 * np.linalg.norm(x, axis=1)).all()
+    scored, limits = 0, np.array([[9000, 17000], [12000, 15000]])
+    queries = hard_negatives.Queries(x[:40], turns)
+    for i in range(40):
+        exact = x @ x[i]
+
+        def check(rows, low, high):
+            assert (low <= exact[rows]).all() and (exact[rows] <= high).all()
+            return hard_negatives.in_bands(low, high, limits, 3)
+
+        left = hard_negatives.survivors(queries, i, codes, slice(0, len(x)), check)
+        for bottom, top in limits:
+            inside = np.flatnonzero((exact >= bottom) & (exact <= top))
+            assert set(inside[np.argsort(-exact[inside], kind="stable")[:3]]) <= set(left)
         scored += len(left)
     assert scored < 0.2 * 40 * len(x)
 
