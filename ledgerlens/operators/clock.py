@@ -8,9 +8,11 @@ Two clocks exist and are never mixed silently:
   graph metrics).
 
 Start dates come from a grouped ``min`` (map-side partial aggregation, so a
-user holding a third of all rows still spreads over every task) joined back
-on ``user1``; the runtime planner broadcasts the per-user table when it is
-small and otherwise splits skewed partitions of the big side.  A window over
+user holding a third of all rows still spreads over every task).  The table of
+start dates is stored once per log and joined back on ``user1``: the planner
+broadcasts it when it is small, and beyond that both sides of the join are bare
+shuffles, whose skewed partitions the runtime planner splits.  (A grouped
+minimum directly under the join would forbid that.)  A window over
 ``partitionBy(user1)`` would put every row of a hot user into one task.
 """
 
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import lifetime_month
 from ledgerlens.schema import DAYS_PER_MONTH, MAX_LIFETIME
+from ledgerlens.session import materialize
 
 
 def both_orientations(df: DataFrame, a: str = "user1", b: str = "user2", *rest: str) -> DataFrame:
@@ -61,37 +64,29 @@ def first_activity(rows: DataFrame) -> DataFrame:
     return rows.groupBy("user1").agg(F.min("datetime").alias("start_date"))
 
 
-def with_clock(rows: DataFrame, starts: DataFrame | None = None) -> DataFrame:
-    """Add ``start_date`` and ``lifetime`` to every row."""
-    starts = first_activity(rows) if starts is None else starts
-    return rows.join(starts, "user1").withColumn(
-        "lifetime", lifetime_month("datetime", "start_date")
-    )
+def with_clock(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """Add ``start_date`` and ``lifetime`` to every row that has a user."""
+    return rows.join(starts, "user1").withColumn("lifetime", lifetime_month("datetime", "start_date"))
+
+
+def with_sender_starts(rows: DataFrame, payments: DataFrame) -> DataFrame:
+    """Rows with their payer's ``start_date``; payments without a payer share one, as any payer's do."""
+    of = sender_starts(payments).select(F.col("user1").alias("_user"), "start_date")
+    return rows.join(of, F.col("user1").eqNullSafe(F.col("_user"))).drop("_user")
 
 
 def sender_starts(payments: DataFrame) -> DataFrame:
-    """Sender-clock first day per payer, one DataFrame per log object.
+    """Sender-clock first day per payer, stored once per log object.
 
-    Every sender-clock operator on the same log uses this same object, so a
-    query that needs it several times computes the aggregate once.
+    Every sender-clock operator on the same log reads the same stored table.
     """
     starts = payments.__dict__.get("_ledgerlens_sender_starts")
     if starts is None:
-        starts = first_activity(payments.select("user1", "datetime"))
+        starts = materialize(first_activity(payments.select("user1", "datetime")), "sender-starts")
         payments.__dict__["_ledgerlens_sender_starts"] = starts
     return starts
 
 
-def sender_rows(payments: DataFrame) -> DataFrame:
-    """Sender clock on the raw log (every payment type, loops kept)."""
-    return with_clock(payments, sender_starts(payments))
-
-
-def both_rows(payments: DataFrame) -> DataFrame:
-    """Symmetric clock on the loop-free symmetric log."""
-    return with_clock(graph_log(payments))
-
-
 def sender_days(payments: DataFrame) -> DataFrame:
     """Payments per payer and calendar day, on the sender clock.
 
@@ -100,7 +95,7 @@ def sender_days(payments: DataFrame) -> DataFrame:
     of payments joins the start dates with at most one row per active day.
     """
     daily = payments.groupBy("user1", F.to_date("datetime").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    return daily.join(sender_starts(payments), "user1").select(
+    return with_sender_starts(daily, payments).select(
         "user1",
         "n",
         lifetime_month("day", "start_date").alias("lifetime"),
@@ -110,8 +105,8 @@ def sender_days(payments: DataFrame) -> DataFrame:
 
 def sender_clock(payments: DataFrame) -> DataFrame:
     """sender-clock rows with ``lifetime_days`` and ``days``."""
-    rows = with_clock(payments.select("user1", "user2", "datetime"), sender_starts(payments))
-    return rows.select(
+    rows = with_sender_starts(payments.select("user1", "user2", "datetime"), payments)
+    return rows.withColumn("lifetime", lifetime_month("datetime", "start_date")).select(
         "user1",
         "user2",
         "datetime",
@@ -129,7 +124,8 @@ def lifetime_spine(users: DataFrame) -> DataFrame:
 
 
 def sender_spine(payments: DataFrame) -> DataFrame:
-    return lifetime_spine(sender_starts(payments))
+    """E8 on the sender clock; payments without a payer belong to no panel."""
+    return lifetime_spine(sender_starts(payments).where(F.col("user1").isNotNull()))
 
 
 def dual_clock(payments: DataFrame, starts: DataFrame | None = None) -> DataFrame:
@@ -139,7 +135,7 @@ def dual_clock(payments: DataFrame, starts: DataFrame | None = None) -> DataFram
     given).  Keeps rows whose ``user1_lifetime`` is at most 12.
     """
     rows = graph_log(payments)
-    starts = first_activity(rows) if starts is None else starts
+    starts = materialize(first_activity(rows), "starts") if starts is None else starts
     s1 = starts.select("user1", F.col("start_date").alias("user1_start_date"))
     s2 = starts.select(F.col("user1").alias("user2"), F.col("start_date").alias("user2_start_date"))
     out = rows.join(s1, "user1").join(s2, "user2")

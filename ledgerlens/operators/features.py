@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.clock import dual_clock, running_window, sender_days, sender_spine
-from ledgerlens.operators.graph import cum_friends, cum_fof, cum_triangles, first_met, fof_new, graph_of
+from ledgerlens.operators.clock import dual_clock, running_window, sender_days, sender_spine, sender_starts
+from ledgerlens.operators.graph import cum_friends, cum_fof, cum_triangles, fof_new, graph_of
 from ledgerlens.operators.profile import dynamic_profile, running_profile
 from ledgerlens.operators.rank import page_rank
 from ledgerlens.schema import DAYS_PER_MONTH, MAX_LIFETIME, PROFILE_COLUMNS
+from ledgerlens.session import materialize
 
 
 def first_year_txn(payments: DataFrame) -> DataFrame:
@@ -142,35 +143,72 @@ def model4_input(payments: DataFrame, dictionary: DataFrame, ranks: DataFrame |
     return friend_profile(payments, dictionary).join(model3_input(payments, ranks), ["user1", "lifetime"])
 
 
+def profile_steps(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Per contact, how its running profile (D8) changes from active month to active month.
+
+    One row per user with at most 13 steps: the own month, 1 for the first step,
+    and the change of each share.  Stored, so that a join with it can be split.
+    """
+    by_month = Window.partitionBy("user1").orderBy("lifetime")
+    change = [(F.col(c) - F.coalesce(F.lag(c).over(by_month), F.lit(0.0))).alias(c) for c in PROFILE_COLUMNS]
+    first = F.when(F.row_number().over(by_month) == 1, 1).otherwise(0).cast("bigint").alias("first")
+    steps = running_profile(payments, dictionary).select("user1", F.col("lifetime").alias("own"), first, *change)
+    packed = steps.groupBy("user1").agg(F.collect_list(F.struct("own", "first", *PROFILE_COLUMNS)).alias("steps"))
+    return materialize(
+        packed.join(sender_starts(payments), "user1").select(
+            F.col("user1").alias("contact"), F.col("start_date").alias("contact_start"), "steps"
+        ),
+        "profile-steps",
+    )
+
+
 def network_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """average spending profile of the contacts known by each month.
+    """average spending profile of the contacts known by each month, as of that month's last day.
 
     hop 1 = friends first met by the month, hop 2 = new friends-of-friends
-    reached by the month (E12).  A contact's profile in month m is its running
-    profile (D8) of the last month of its own clock, up to m, in which it was
-    active, so no later payment enters.  A contact without an active month by
-    then does not count.  One row per (user1, lifetime, hop) from the first
-    month with such a contact on.
+    reached by the month (E12).  Month m of a user ends 30·m days after the user's
+    first day; of a contact's running profile (D8), on the contact's own sender
+    clock, only months that have ended by that date enter, and the last active
+    one of them counts.  So no later payment enters, and a contact who has not
+    paid by then does not count.  One row per (user1, lifetime, hop) from the
+    first month with such a contact on.
+
+    Both clocks have 30-day months, so a contact's month j has ended by the end
+    of the user's month m exactly if j <= m + floor((user's first day - contact's
+    first day) / 30).  Each pair is therefore joined once, with the contact's
+    list of changes, and a change counts from one month of the user on; the
+    averages are running sums of changes over the at most 13 rows of a user and hop.
     """
-    friends = first_met(payments).select("user1", F.col("user2").alias("contact"), "lifetime", F.lit(1).alias("hop"))
+    g = graph_of(payments)
+    friends = g.edges.select(
+        "user1", F.col("user2").alias("contact"), F.col("lifetime").alias("since"), "start_date", F.lit(1).alias("hop")
+    )
     fofs = (
         fof_new(payments, keep_null=False)
-        .select("user1", F.col("friend_of_friend").alias("contact"), "lifetime", F.lit(2).alias("hop"))
-    )
-    contacts = friends.unionByName(fofs).where(F.col("lifetime") <= MAX_LIFETIME)
-    # A profile row holds from its month until the next active month of the contact.
-    following = F.lead("lifetime").over(Window.partitionBy("user1").orderBy("lifetime"))
-    last = F.coalesce(following - 1, F.lit(MAX_LIFETIME).cast("bigint"))
-    prof = (
-        running_profile(payments, dictionary)
-        .withColumn("last", last)
-        .select(F.col("user1").alias("contact"), F.explode(F.sequence("lifetime", "last")).alias("lifetime"), *PROFILE_COLUMNS)
+        .join(g.starts, "user1")
+        .select("user1", F.col("friend_of_friend").alias("contact"), F.col("lifetime").alias("since"), "start_date", F.lit(2).alias("hop"))
     )
-    known = contacts.select(
-        "user1", "contact", "hop", F.explode(F.sequence("lifetime", F.lit(MAX_LIFETIME).cast("bigint"))).alias("lifetime")
+    known = friends.unionByName(fofs).where(F.col("since") <= MAX_LIFETIME)
+    shift = F.floor(F.datediff("start_date", "contact_start") / F.lit(DAYS_PER_MONTH))
+    changes = (
+        known.join(profile_steps(payments, dictionary), "contact")
+        .select("user1", "hop", "since", shift.alias("shift"), F.explode("steps").alias("step"))
+        .select("user1", "hop", F.greatest(F.col("step.own") - F.col("shift"), F.col("since")).alias("lifetime"), "step")
+        .where(F.col("lifetime") <= MAX_LIFETIME)
+        .groupBy("user1", "hop", "lifetime")
+        .agg(F.sum("step.first").alias("n"), *[F.sum(f"step.{c}").alias(c) for c in PROFILE_COLUMNS])
     )
+    by_month = Window.partitionBy("user1", "hop").orderBy("lifetime")
+    so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.coalesce(F.lead("lifetime").over(by_month) - 1, F.lit(MAX_LIFETIME).cast("bigint"))
     return (
-        known.join(prof, ["contact", "lifetime"])
-        .groupBy("user1", "lifetime", "hop")
-        .agg(F.count(F.lit(1)).alias("n_contacts"), *[F.avg(c).alias(c) for c in PROFILE_COLUMNS])
+        changes.withColumn("until", until)
+        .select("user1", "hop", "lifetime", "until", *[F.sum(c).over(so_far).alias(c) for c in ("n", *PROFILE_COLUMNS)])
+        .select(
+            "user1",
+            F.explode(F.sequence("lifetime", "until")).alias("lifetime"),
+            "hop",
+            F.col("n").cast("bigint").alias("n_contacts"),
+            *[(F.col(c) / F.col("n")).alias(c) for c in PROFILE_COLUMNS],
+        )
     )

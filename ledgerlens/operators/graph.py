@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import lifetime_month
 from ledgerlens.operators.clock import (
     both_orientations,
+    first_activity,
     graph_log,
     loop_free,
     lifetime_spine,
@@ -31,15 +32,21 @@ from ledgerlens.operators.clock import (
     with_clock,
 )
 from ledgerlens.schema import MAX_LIFETIME
+from ledgerlens.session import materialize
+
+#: neighbours of a user on one side of a task of a join through that user
+HUB_BLOCK = 1000
 
 
 class PaymentGraph:
     """Intermediates shared by the graph operators of one payment log.
 
-    Each property is one lazily built DataFrame; every operator that needs
-    it uses the same object, so within a query the planner sees identical
-    subtrees and computes each exchange once (exchange reuse) instead of
-    re-reading and re-shuffling the log per operator.
+    First contacts, start dates and degrees are stored once per log, when an
+    operator first needs them.  Joins with them therefore have bare shuffles on
+    both sides, which the runtime planner can split for a hot user, and several
+    operators of one query do not start from the log again.  The other
+    properties are lazily built; within a query the planner sees identical
+    subtrees and computes each exchange once.
     """
 
     def __init__(self, payments: DataFrame):
@@ -48,10 +55,12 @@ class PaymentGraph:
     @cached_property
     def undirected(self) -> DataFrame:
         """First payment time per unordered pair ``a < b`` (either direction)."""
-        clean = loop_free(self.payments)
-        return clean.groupBy(
-            F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b")
-        ).agg(F.min("datetime").alias("datetime"))
+        first = (
+            loop_free(self.payments)
+            .groupBy(F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b"))
+            .agg(F.min("datetime").alias("datetime"))
+        )
+        return materialize(first, "pairs")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -59,26 +68,18 @@ class PaymentGraph:
         return both_orientations(self.undirected, "a", "b", "datetime")
 
     @cached_property
-    def user_stats(self) -> DataFrame:
-        """Per user: first day (min over the user's pairs) and degree, in one
-        aggregate so both come from a single shuffle."""
-        return self.pairs.groupBy("user1").agg(
-            F.min("datetime").alias("start_date"), F.count(F.lit(1)).alias("num_friends")
-        )
+    def starts(self) -> DataFrame:
+        """Symmetric-clock first day per user, straight from the log: partial minima need no shuffle of pairs."""
+        return materialize(first_activity(graph_log(self.payments)), "starts")
 
     @cached_property
-    def starts(self) -> DataFrame:
-        """Symmetric-clock first day per user."""
-        return self.user_stats.select("user1", "start_date")
+    def degree(self) -> DataFrame:
+        return materialize(self.pairs.groupBy("user1").agg(F.count(F.lit(1)).alias("num_friends")), "degree")
 
     @cached_property
     def spine(self) -> DataFrame:
         return lifetime_spine(self.starts)
 
-    @cached_property
-    def degree(self) -> DataFrame:
-        return self.user_stats.select("user1", "num_friends")
-
     @cached_property
     def edges(self) -> DataFrame:
         """E16 rows: lifetime is monotone in datetime, so the first payment's
@@ -146,12 +147,44 @@ def friend_list(payments: DataFrame) -> DataFrame:
     return g.pairs.join(g.degree, "user1").select("user1", F.col("user2").alias("friend"), "num_friends")
 
 
-def two_hop(payments: DataFrame) -> DataFrame:
+def hub_grid(left: DataFrame, right: DataFrame, degree: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """``left`` (user1, via, …) and ``right`` (via, far, …) with ``_row`` and ``_col``, their place in a grid of blocks.
+
+    A user with more than ``block`` neighbours has those of either side dealt to
+    blocks by a hash; each pair of blocks becomes a key of its own, for which the
+    rows of either side are repeated.  Users below that have one block.
+    """
+    grid = degree.select(F.col("user1").alias("via"), F.ceil(F.col("num_friends") / block).cast("int").alias("_g"))
+
+    def deal(side: DataFrame, own: str, by: str, other: str) -> DataFrame:
+        side = side.join(grid, "via").withColumn(own, F.pmod(F.xxhash64(by), F.col("_g")).cast("int"))
+        return side.withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_g") - 1))).drop("_g")
+
+    return deal(left, "_row", "user1", "_col"), deal(right, "_col", "far", "_row")
+
+
+def join_via(left: DataFrame, right: DataFrame, degree: DataFrame, block: int = HUB_BLOCK) -> DataFrame:
+    """Join ``left`` (user1, via, …) and ``right`` (via, far, …) on ``via``.
+
+    ``degree`` is the stored table of neighbours per user.  Where one has more
+    than ``block``, the sides meet in a grid, so no key has more than about
+    ``block`` rows a side; without such a hub every user is one block, and the
+    join is the plain one.
+    """
+    widest = degree.agg(F.max("num_friends")).first()[0] or 0
+    if widest <= block:
+        return left.join(right, "via")
+    rows, cols = hub_grid(left, right, degree, block)
+    return rows.join(cols, ["via", "_row", "_col"]).drop("_row", "_col")
+
+
+def two_hop(payments: DataFrame, hub_block: int = HUB_BLOCK) -> DataFrame:
     """Every user reachable over two hops (the user itself included)."""
+    g = graph_of(payments)
     pairs = friend_pairs(payments)
     a = pairs.select(F.col("user1"), F.col("user2").alias("via"))
-    b = pairs.select(F.col("user1").alias("via"), F.col("user2").alias("two_hop"))
-    return a.join(b, "via").select("user1", "two_hop").distinct()
+    b = pairs.select(F.col("user1").alias("via"), F.col("user2").alias("far"))
+    return join_via(a, b, g.degree, hub_block).select("user1", F.col("far").alias("two_hop")).distinct()
 
 
 def two_hop_only(payments: DataFrame, drop_self: bool = False) -> DataFrame:
@@ -226,13 +259,13 @@ def cum_friends(payments: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # Friends of friends
 # --------------------------------------------------------------------------
-def _runner_up(pairs: DataFrame) -> DataFrame:
+def _runner_up(pairs: DataFrame, starts: DataFrame) -> DataFrame:
     """Per user, the second-smallest first-contact time (ties count twice).
 
-    Both aggregates combine map-side, so a hub's contacts never meet in one
-    task as raw rows.
+    A user's smallest is their start date.  The aggregate combines map-side, so a
+    hub's contacts never meet in one task as raw rows.
     """
-    first = pairs.groupBy("user1").agg(F.min("datetime").alias("d1"))
+    first = starts.select("user1", F.col("start_date").alias("d1"))
     second = (
         pairs.join(first, "user1")
         .groupBy("user1", "d1")
@@ -247,14 +280,15 @@ def _runner_up(pairs: DataFrame) -> DataFrame:
     )
 
 
-def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
+def fof_first_met(payments: DataFrame, keep_null: bool = True, hub_block: int = HUB_BLOCK) -> DataFrame:
     """First month (user1's clock) each friend-of-friend was reached.
 
     Time-respecting: the u–v payment must be no earlier than some v–w
     payment, w ≠ u.  The right side only needs v's first contact with each
     w; the left side only the last payment per (u, v, month), because a
     later payment reaches whatever an earlier one does, and those ≤ 13
-    monthly values travel as one array per (u, v).
+    monthly values travel as one array per (u, v).  The neighbours of a hub v
+    meet in a grid of blocks (``join_via``).
 
     With ``keep_null`` the rows of u whose payment reached nobody form one
     group with a null ``friend_of_friend``, as a left outer join gives.  A
@@ -269,9 +303,7 @@ def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
         .agg(F.max("hi").alias("hi"), F.min("lo").alias("lo"))
         .withColumnRenamed("user2", "via")
     )
-    right = g.pairs.select(
-        F.col("user1").alias("via"), F.col("user2").alias("friend_of_friend"), F.col("datetime").alias("first_dt")
-    )
+    right = g.pairs.select(F.col("user1").alias("via"), F.col("user2").alias("far"), F.col("datetime").alias("first_dt"))
     # One row per (u, v) with its ≤ 13 (last payment, month) pairs, so the
     # join on the middle user emits one row per (u, v, w) instead of one per
     # active month; the earliest month whose last payment reaches w wins.
@@ -284,7 +316,8 @@ def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
         )
     )
     matched = (
-        per_pair.join(right, "via")
+        join_via(per_pair, right, g.degree, hub_block)
+        .withColumnRenamed("far", "friend_of_friend")
         .where(F.col("friend_of_friend") != F.col("user1"))
         .select("user1", "friend_of_friend", reached.alias("lifetime"))
         .where(F.col("lifetime").isNotNull())
@@ -294,7 +327,7 @@ def fof_first_met(payments: DataFrame, keep_null: bool = True) -> DataFrame:
     if not keep_null:
         return matched
     unmatched = (
-        left.join(_runner_up(g.pairs), "via", "left")
+        left.join(_runner_up(g.pairs, g.starts), "via", "left")
         .where(F.col("d2").isNull() | (F.col("lo") < F.col("d2")))
         .groupBy("user1")
         .agg(F.min("lifetime").alias("lifetime"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import lifetime_month, round_share
-from ledgerlens.operators.clock import lifetime_spine, running_window, sender_starts, with_clock
+from ledgerlens.operators.clock import running_window, sender_spine, with_sender_starts
 from ledgerlens.operators.text import category_counts, payments_with_category
 from ledgerlens.schema import MAX_LIFETIME, PROFILE_COLUMNS
 
@@ -47,7 +47,8 @@ def spending_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
 def category_rows(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """D3 + D4: categorised payments on the sender clock."""
     rows = payments_with_category(payments, dictionary).select("user1", "category", "datetime")
-    return with_clock(rows, sender_starts(payments))
+    rows = with_sender_starts(rows, payments)
+    return rows.withColumn("lifetime", lifetime_month("datetime", "start_date"))
 
 
 def daily_category_counts(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def daily_category_counts(payments: DataFrame, dictionary: DataFrame) -> DataFra
     month.  Counted per (payer, day, description) before categorising and
     before the start-date join, so neither join sees raw payments."""
     daily = category_counts(payments, dictionary, ["user1", F.to_date("datetime").alias("day")])
-    return daily.join(sender_starts(payments), "user1").select(
+    return with_sender_starts(daily, payments).select(
         "user1", "category", "n", lifetime_month("day", "start_date").alias("lifetime")
     )
 
@@ -102,17 +103,17 @@ def cumulative_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Share of each category among all payments so far, months 0..12.
 
     Two food and two activity payments out of four so far give 0.5 / 0.5.
-    Months without payments carry the previous shares.
+    Months without payments carry the previous shares; before a user's first
+    dated payment the shares are null.
     """
     rows = daily_category_counts(payments, dictionary).where(F.col("lifetime") <= MAX_LIFETIME)
     counts = rows.groupBy("user1", "lifetime").pivot("category", PROFILE_COLUMNS).agg(F.sum("n"))
-    spine = lifetime_spine(sender_starts(payments))
-    panel = spine.join(counts, ["user1", "lifetime"], "left")
+    panel = sender_spine(payments).join(counts, ["user1", "lifetime"], "left")
     w = running_window()
     running = panel.select(
         "user1", "lifetime", *[F.sum(F.coalesce(F.col(c), F.lit(0))).over(w).alias(c) for c in PROFILE_COLUMNS]
     )
     total = sum((F.col(c) for c in PROFILE_COLUMNS), F.lit(0))
     return running.select(
-        "user1", "lifetime", *[(F.col(c) / total).alias(c) for c in PROFILE_COLUMNS]
+        "user1", "lifetime", *[F.try_divide(F.col(c), total).alias(c) for c in PROFILE_COLUMNS]
     )

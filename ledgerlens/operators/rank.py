@@ -1,27 +1,30 @@
 """PageRank E23 / E24 as an iterative join–aggregate.
 
-Rank vectors never leave the cluster: each round joins the current ranks to
-the weighted edge list (stored once, bucketed by source node and a salt that
-spreads hot sources) on the source and sums the contributions per
-destination, with map-side partial sums.  Lineage is
-cut every few rounds by writing the rank vector to the session's shared
-checkpoint folder, so a lost executor recomputes at most those rounds.
-
-``group_cols`` runs many independent graphs in the same pass (E24: one graph
-per lifetime month), each normalised by its own node count.
+Rank vectors never leave the cluster.  The edge list is stored once, bucketed by
+source node and a salt that spreads hot sources.  A node's row holds its ranks in
+all graphs of the family (one for E23, one a lifetime month for E24) side by
+side, and an edge says from which graph on it exists, so a growing graph costs
+one edge list and one pass a round however many months it is looked at.
+
+Per round a node sends its shares to its edge buckets, they are summed for each
+destination with map-side partial sums, and the new row is written to the shared
+checkpoint folder: a lost executor repeats at most that round.  A graph whose
+ranks have settled is frozen and no longer computed.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import lifetime_month
 from ledgerlens.operators.clock import both_orientations
-from ledgerlens.operators.graph import first_met, pair_first
+from ledgerlens.operators.graph import graph_of, pair_first
 from ledgerlens.schema import MAX_LIFETIME
-from ledgerlens.session import checkpoint_dir, materialize
+from ledgerlens.session import checkpoint_dir, materialize, release, scratch_dir
 
 # Defaults of the usual library implementation.
 DAMPING = 0.85
@@ -38,7 +41,7 @@ def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     """
     spark = df.sparkSession
     name = f"ledgerlens_bucketed_{uuid.uuid4().hex[:12]}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    path = f"{scratch_dir(spark)}/{name}"
     # One write task per bucket, so each bucket is one file.
     (
         df.repartition(buckets, *keys)
@@ -47,112 +50,113 @@ def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
         .option("path", path)
         .saveAsTable(name)
     )
-    return spark.table(name)
+    stored = spark.table(name)
+    stored.__dict__.update(_ledgerlens_path=path, _ledgerlens_table=name)
+    return stored
 
 
-def pagerank(
+def pagerank_family(
     edges: DataFrame,
+    graphs: int = 1,
     alpha: float = DAMPING,
     max_iter: int = MAX_ITER,
     tol: float | None = TOLERANCE,
-    group_cols: tuple[str, ...] = (),
-    checkpoint_every: int = 5,
-    max_groups: int = 10_000,
 ) -> DataFrame:
-    """Rank of every node of a graph given as distinct directed ``src, dst``.
+    """Ranks of every node in a family of growing graphs, given as ``src, dst, first``.
+
+    Graph ``m`` (0 to ``graphs - 1``) has the edges with ``first <= m``; each pair
+    ``src, dst`` occurs once, and undirected graphs pass both orientations, so
+    every node both sends and receives rank.  The result has a row per node with
+    its out-degree ``d{m}`` and its rank ``r{m}`` in every graph (0 where the node
+    has no edge yet).  The new rank is ``(1 - alpha) / N + alpha * sum``.
 
-    Undirected graphs pass both orientations, so every node both sends and
-    receives rank.  Per round: the stored edge list joins the rank vector on
-    ``src`` without moving the edges, contributions are summed per ``dst``
-    with map-side partial sums, and the new rank is
-    ``(1 - alpha) / N + alpha * sum``.  With ``tol`` set, rounds stop once
-    every group's L1 change is below ``tol × N`` (one number per group
-    reaches the driver) and more than ``max_iter`` rounds are an error;
-    ``tol=None`` runs exactly ``max_iter`` rounds.  No edges give no ranks.
+    With ``tol`` set, a graph is done once its L1 change is below ``tol * N`` with
+    its own number of nodes N (the usual library's rule; two numbers a graph
+    reach the driver), and one that is not done in ``max_iter`` rounds is an
+    error; ``tol=None`` runs exactly ``max_iter`` rounds.
 
     Hot sources are salted: a source with more out-edges than an average
     bucket holds has its edges spread over ``s = ceil(out_deg / load)``
-    buckets by a hash of the destination, and its rank row is sent to each
+    buckets by a hash of the destination, and its shares are sent to each
     of those ``s`` buckets.  A hub holding a third of all edges therefore
     never makes one task process a third of the edges per round.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    g = list(group_cols)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out_deg = materialize(edges.groupBy(*g, "src").agg(F.count(F.lit(1)).alias("out_deg")), "pagerank-degree")
-    n_edges = out_deg.agg(F.sum("out_deg")).first()[0] or 0
-    load = max(1, -(-n_edges // buckets))
-    fan = out_deg.select(
-        *g,
-        "src",
-        "out_deg",
-        F.least(F.ceil(F.col("out_deg") / F.lit(load)), F.lit(buckets)).cast("int").alias("s"),
+    months = range(graphs)
+    nodes = materialize(
+        edges.groupBy(F.col("src").alias("node")).agg(*[F.count_if(F.col("first") <= m).alias(f"d{m}") for m in months]),
+        "pagerank-degree",
     )
-    weighted = _bucketed(
-        edges.join(fan, [*g, "src"]).select(
-            *g,
-            "src",
-            "dst",
-            F.pmod(F.xxhash64("dst"), F.col("s")).cast("int").alias("salt"),
-            (F.lit(1.0) / F.col("out_deg")).alias("w"),
-        ),
-        [*g, "src", "salt"],
-        buckets,
+    last = F.col(f"d{graphs - 1}")
+    facts = nodes.agg(
+        F.sum(last).alias("edges"),
+        F.max(last).alias("most"),
+        *[F.count_if(F.col(f"d{m}") > 0).alias(f"n{m}") for m in months],
+    ).first()
+    size = [facts[f"n{m}"] for m in months]
+    load = max(1, -(-(facts["edges"] or 0) // buckets))
+    state = nodes.select(
+        "node",
+        F.least(F.ceil(last / F.lit(load)), F.lit(buckets)).cast("int").alias("s"),
+        *[f"d{m}" for m in months],
+        *[F.when(F.col(f"d{m}") > 0, F.lit(1.0 / max(size[m], 1))).otherwise(0.0).alias(f"r{m}") for m in months],
     )
-    # Salt counts per node, bucketed like the aggregated ranks (by node), so
-    # joining them each round needs no exchange.
-    fan = _bucketed(fan.select(*g, F.col("src").alias("node"), "s"), [*g, "node"], buckets)
-    nodes = fan.select(*g, "node")
-    if g:
-        sizes = materialize(nodes.groupBy(*g).agg(F.count(F.lit(1)).alias("n_nodes")), "pagerank-sizes")
-        # The group table is broadcast only when its row count is within bound.
-        if sizes.limit(max_groups + 1).count() <= max_groups:
-            sizes = F.broadcast(sizes)
-        ranks = nodes.join(sizes, g).select(*g, "node", (F.lit(1.0) / F.col("n_nodes")).alias("rank"))
+    open_ = [m for m in months if size[m]]
+    if not open_:
+        return state
+    slim = edges.select("src", "dst", "first")
+    if facts["most"] > load:
+        slim = slim.join(state.select(F.col("node").alias("src"), "s"), "src")
+        slim = slim.withColumn("salt", F.pmod(F.xxhash64("dst"), F.col("s")).cast("int")).drop("s")
     else:
-        n_nodes = nodes.count()
-        if not n_nodes:
-            return nodes.select("node", F.lit(0.0).alias("rank"))
-        ranks = nodes.select("node", F.lit(1.0 / n_nodes).alias("rank"))
-    ranks = materialize(ranks, "pagerank-ranks")
-
-    def step(current: DataFrame) -> DataFrame:
-        # One copy of each rank row per salt bucket of its node (1 for all
-        # but the hot sources).
-        sent = current.join(fan, [*g, "node"]).select(
-            *g,
+        slim = slim.withColumn("salt", F.lit(0))
+    stored = _bucketed(slim, ["src", "salt"], buckets)
+
+    def step(now: DataFrame) -> DataFrame:
+        has_edge = reduce(lambda a, b: a | b, [F.col(f"d{m}") > 0 for m in open_])
+        # one copy of each row per salt bucket of its node (1 for all but hot sources)
+        sent = now.where(has_edge).select(
             F.col("node").alias("src"),
             F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"),
-            "rank",
+            *[F.try_divide(f"r{m}", f"d{m}").alias(f"q{m}") for m in open_],
         )
-        sums = (
-            weighted.join(sent, [*g, "src", "salt"])
-            .groupBy(*g, "dst")
-            .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
-            .withColumnRenamed("dst", "node")
+        share = {m: F.col(f"q{m}") if graphs == 1 else F.when(F.col("first") <= m, F.col(f"q{m}")) for m in open_}
+        sums = stored.join(sent, ["src", "salt"]).groupBy("dst").agg(*[F.sum(share[m]).alias(f"t{m}") for m in open_])
+        new = {m: F.lit((1.0 - alpha) / size[m]) + F.lit(alpha) * F.coalesce(F.col(f"t{m}"), F.lit(0.0)) for m in open_}
+        new = {m: F.when(F.col(f"d{m}") > 0, c).otherwise(0.0) for m, c in new.items()}
+        return now.join(sums, F.col("node") == F.col("dst"), "left").select(
+            "node",
+            "s",
+            *[f"d{m}" for m in months],
+            *[(new[m] if m in new else F.col(f"r{m}")).alias(f"r{m}") for m in months],
+            *[F.abs(new[m] - F.col(f"r{m}")).alias(f"e{m}") for m in open_],
         )
-        if g:
-            base = F.lit(1.0 - alpha) / F.col("n_nodes")
-            return sums.join(sizes, g).select(*g, "node", (base + F.lit(alpha) * F.col("s")).alias("rank"))
-        return sums.select("node", (F.lit((1.0 - alpha) / n_nodes) + F.lit(alpha) * F.col("s")).alias("rank"))
-
-    for i in range(1, max_iter + 1):
-        new_ranks = step(ranks)
-        if tol is not None or i % checkpoint_every == 0 or i == max_iter:
-            new_ranks = materialize(new_ranks, "pagerank-ranks")
+
+    for _ in range(max_iter):
+        new = materialize(step(state), "pagerank-ranks")
+        release(state)
+        state = new
         if tol is not None:
-            stats = new_ranks.join(ranks.withColumnRenamed("rank", "old"), [*g, "node"]).groupBy(*g).agg(
-                F.sum(F.abs(F.col("rank") - F.col("old"))).alias("err"), F.count(F.lit(1)).alias("n")
-            )
-            ranks = new_ranks
-            if stats.where(F.col("err") >= F.col("n") * F.lit(tol)).limit(1).count() == 0:
-                return ranks
-        else:
-            ranks = new_ranks
-    if tol is not None:
+            change = state.agg(*[F.sum(f"e{m}").alias(f"e{m}") for m in open_]).first()
+            open_ = [m for m in open_ if change[f"e{m}"] >= tol * size[m]]
+            if not open_:
+                break
+    # the last round is written, so nothing reads the edges and degrees any more
+    release(stored)
+    release(nodes)
+    if tol is not None and open_:
         raise RuntimeError(f"PageRank did not reach the tolerance {tol} in {max_iter} rounds")
-    return ranks
+    return state.select("node", *[f"d{m}" for m in months], *[f"r{m}" for m in months])
+
+
+def pagerank(
+    edges: DataFrame, alpha: float = DAMPING, max_iter: int = MAX_ITER, tol: float | None = TOLERANCE
+) -> DataFrame:
+    """``node, rank`` of a graph given as distinct directed ``src, dst``; no edges give no ranks."""
+    family = pagerank_family(edges.select("src", "dst", F.lit(0).alias("first")), 1, alpha, max_iter, tol)
+    return family.select("node", F.col("r0").alias("rank"))
 
 
 def undirected_edges(payments: DataFrame) -> DataFrame:
@@ -168,22 +172,21 @@ def page_rank(payments: DataFrame, max_iter: int = MAX_ITER, tol: float | None =
 
 
 def monthly_edges(payments: DataFrame) -> DataFrame:
-    """E24 graph family: month m holds the pairs first met by month m.
+    """E24 graph family: every pair once in each orientation, with the ``first`` month that has it.
 
-    A pair's first month is taken on either end's clock, so the undirected
-    edge exists from ``min(month on u's clock, month on v's clock)`` on.
-    That minimum is aggregated once per unordered pair, then months and both
-    orientations are generated without any further shuffle or ``distinct``.
+    A pair's month is taken on either end's clock, so the undirected edge exists
+    from the smaller of the two on, which is the month on the clock of the end
+    that started later.
     """
-    met = first_met(payments)
-    first = met.groupBy(
-        F.least("user1", "user2").alias("a"), F.greatest("user1", "user2").alias("b")
-    ).agg(F.min("lifetime").alias("first"))
-    months = first.where(F.col("first") <= MAX_LIFETIME).select(
-        "a", "b", F.explode(F.sequence(F.col("first"), F.lit(MAX_LIFETIME).cast("bigint"))).alias("lifetime")
-    )
-    return both_orientations(months, "a", "b", "lifetime").select(
-        F.col("user1").alias("src"), F.col("user2").alias("dst"), "lifetime"
+    g = graph_of(payments)
+    starts = g.starts.select(F.col("user1").alias("_u"), F.col("start_date").alias("_s"))
+    met = g.undirected
+    for end in ("a", "b"):
+        met = met.join(starts, F.col(end) == F.col("_u")).withColumnRenamed("_s", f"start_{end}").drop("_u")
+    first = lifetime_month("datetime", F.greatest("start_a", "start_b"))
+    met = met.select("a", "b", first.alias("first")).where(F.col("first") <= MAX_LIFETIME)
+    return both_orientations(met, "a", "b", "first").select(
+        F.col("user1").alias("src"), F.col("user2").alias("dst"), "first"
     )
 
 
@@ -191,5 +194,16 @@ def page_rank_by_month(
     payments: DataFrame, max_iter: int = MAX_ITER, tol: float | None = TOLERANCE
 ) -> DataFrame:
     """PageRank per lifetime month on the graph known by that month."""
-    ranks = pagerank(monthly_edges(payments), max_iter=max_iter, tol=tol, group_cols=("lifetime",))
-    return ranks.select(F.col("node").alias("user1"), "lifetime", F.col("rank").alias("page_rank"))
+    months = range(MAX_LIFETIME + 1)
+    family = pagerank_family(monthly_edges(payments), len(months), max_iter=max_iter, tol=tol)
+    slots = F.array(
+        *[
+            F.struct(F.lit(m).cast("bigint").alias("lifetime"), F.col(f"d{m}").alias("d"), F.col(f"r{m}").alias("page_rank"))
+            for m in months
+        ]
+    )
+    return (
+        family.select(F.col("node").alias("user1"), F.explode(slots).alias("k"))
+        .where(F.col("k.d") > 0)
+        .select("user1", "k.lifetime", "k.page_rank")
+    )

@@ -2,15 +2,18 @@
 
 The source analysis fits one model per lifetime month and feature set (13 × 4
 separate MLlib jobs, each re-running the whole lineage).  Here every month
-is fitted in one pass:
+is fitted, tested and described in one pass over its panel:
 
-1. ``groupBy(lifetime)`` sums of x, y, xxᵀ and xy over the training rows —
-   a single aggregation with map-side partial sums; 13 tiny rows come out.
-2. ``applyInPandas`` solves each month's k×k normal equations (k ≤ 15):
-   centred, zero-variance columns dropped, least-norm solution for collinear
-   columns.  This is the only Python, on 13 rows.
-3. The 13 coefficient rows (bounded by the number of months) are broadcast
-   and test-set MSE is an average per month.
+1. ``groupBy(lifetime, split)`` sums of x, y, xxᵀ and xy — a single aggregation
+   with map-side partial sums; two tiny rows a month come out.
+2. ``applyInPandas`` sweeps each month's k×k correlation matrix (k ≤ 15).  That
+   gives the coefficients, the inverse for standard errors and p-values, and the
+   rank; the error on the test rows follows from their own sums.  This is the
+   only Python, on 26 rows.
+
+A column that is constant, or depends linearly on the columns before it, is
+dropped: its coefficient is 0, its standard error and p-value are null, and its
+name is in ``dropped``.
 
 The train/test split hashes ``user1`` so that it is deterministic for any
 partitioning and a user's rows never straddle train and test.
@@ -18,13 +21,14 @@ partitioning and a user's rows never straddle train and test.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.schema import PROFILE_COLUMNS
-from ledgerlens.session import materialize
 
 # Split and feature lists.
 TRAIN_BUCKETS = 7  # of 10 hash buckets → 70 / 30
@@ -39,8 +43,8 @@ MODEL_FEATURES = {
 # Variance below this share of the mean square counts as a constant column,
 # whatever the column's unit.
 CONSTANT_TOL = 1e-10
-# Largest coefficient table (one row per group) that is broadcast.
-MAX_GROUPS = 10_000
+# A column of which earlier columns explain all but this share is dropped.
+COLLINEAR_TOL = 1e-10
 
 
 def split_column(user_col: str = "user1") -> F.Column:
@@ -56,7 +60,7 @@ def train_test_split(df: DataFrame, user_col: str = "user1") -> DataFrame:
 
 
 def assemble(df: DataFrame, features: list[str], output: str = "features") -> DataFrame:
-    """MLlib feature vector (for the MLlib cross-check path)."""
+    """MLlib feature vector."""
     from pyspark.ml.feature import VectorAssembler
 
     return VectorAssembler(inputCols=features, outputCol=output).transform(df)
@@ -74,81 +78,147 @@ def _moment_aggs(features: list[str], label: str) -> list:
     return aggs
 
 
-def _solver(k: int, group: str):
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        n = float(row["n"])
-        mean = np.array([row[f"sx_{i}"] for i in range(k)], dtype=float) / n
-        ybar = float(row["sy"]) / n
-        sxx = np.zeros((k, k))
+def t_two_sided(t: float, df: float) -> float:
+    """Chance of a Student t at least as far from 0: the incomplete beta function by its continued fraction."""
+    if not math.isfinite(t):
+        return 0.0
+    if df > 1e6:  # normal to within 1 / df
+        return math.erfc(abs(t) / math.sqrt(2.0))
+    x, a, b = df / (df + t * t), df / 2.0, 0.5
+    flip = x > (a + 1.0) / (a + b + 2.0)
+    if flip:
+        x, a, b = 1.0 - x, b, a
+    if x <= 0.0:
+        return 1.0 if flip else 0.0
+    value, c, d = 1.0, 1.0, 0.0
+    for i in range(1000):
+        m = i // 2
+        if i == 0:
+            num = 1.0
+        elif i % 2 == 0:
+            num = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        else:
+            num = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        d = 1.0 / (1.0 + num * d if 1.0 + num * d else 1e-300)
+        c = 1.0 + num / c if 1.0 + num / c else 1e-300
+        value *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    part = front * (value - 1.0)
+    return 1.0 - part if flip else part
+
+
+def sweep(corr: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Inverse of a correlation matrix on the columns that are kept, in order, and those columns."""
+    a, kept = corr.copy(), []
+    for p in range(len(a)):
+        pivot = a[p, p]
+        if not usable[p] or pivot <= COLLINEAR_TOL:
+            continue
+        kept.append(p)
+        row, column = a[p] / pivot, a[:, p].copy()
+        a -= np.outer(column, row)
+        a[p], a[:, p] = row, -column / pivot
+        a[p, p] = 1.0 / pivot
+    return a[np.ix_(kept, kept)], kept
+
+
+class _Moments:
+    """Sums of one group's rows."""
+
+    def __init__(self, row: pd.Series, k: int):
+        self.n, self.sy, self.syy = int(row["n"]), float(row["sy"]), float(row["syy"])
+        self.sx = np.array([row[f"sx_{i}"] for i in range(k)], dtype=float)
+        self.sxy = np.array([row[f"sxy_{i}"] for i in range(k)], dtype=float)
+        self.sxx = np.zeros((k, k))
         for i in range(k):
             for j in range(i, k):
-                sxx[i, j] = sxx[j, i] = row[f"sxx_{i}_{j}"]
-        cov = sxx / n - np.outer(mean, mean)
-        cxy = np.array([row[f"sxy_{i}"] for i in range(k)], dtype=float) / n - mean * ybar
-        keep = np.diag(cov) > CONSTANT_TOL * np.diag(sxx) / n
-        beta = np.zeros(k)
-        rank = 0
-        if keep.any():
-            # Solved on the correlation matrix, so a column of small numbers
-            # (PageRank averages 1/N) weighs as much as any other.
-            scale = np.sqrt(np.diag(cov)[keep])
-            sub = cov[np.ix_(keep, keep)] / np.outer(scale, scale)
-            sol, _, rank, _ = np.linalg.lstsq(sub, cxy[keep] / scale, rcond=1e-10)
-            beta[keep] = sol / scale
-        intercept = ybar - float(beta @ mean)
-        out = {group: [row[group]], "n_train": [int(n)], "rank": [int(rank)], "intercept": [intercept]}
-        for i in range(k):
-            out[f"b_{i}"] = [float(beta[i])]
-        return pd.DataFrame(out)
+                self.sxx[i, j] = self.sxx[j, i] = row[f"sxx_{i}_{j}"]
 
-    return solve
+    def around(self, x: np.ndarray, y: float) -> tuple[np.ndarray, np.ndarray, float]:
+        """Means of products of deviations from a point: xx, xy and yy."""
+        n, dx, dy = self.n, self.sx / self.n - x, self.sy / self.n - y
+        mx, my = self.sx / n, self.sy / n
+        xx = self.sxx / n - np.outer(mx, mx) + np.outer(dx, dx)
+        return xx, self.sxy / n - mx * my + dx * dy, self.syy / n - my * my + dy * dy
 
 
-def fit_by_group(
-    train: DataFrame, features: list[str], label: str = LABEL, group: str = "lifetime"
-) -> DataFrame:
-    """Least-squares coefficients per group from one aggregation pass."""
+def _solver(features: list[str], group: str):
     k = len(features)
-    stats = train.groupBy(group).agg(*_moment_aggs(features, label))
-    schema = f"{group} bigint, n_train bigint, rank int, intercept double, " + ", ".join(
-        f"b_{i} double" for i in range(k)
-    )
-    return stats.groupBy(group).applyInPandas(_solver(k, group), schema)
 
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = {r["split"]: _Moments(r, k) for _, r in pdf.iterrows()}
+        test = rows.get("test")
+        out = {group: [pdf[group].iloc[0]], "n_test": [test.n if test else 0]}
+        if "train" not in rows:
+            return pd.DataFrame({**out, "n_train": [0], "rank": [0], "dropped": [",".join(features)]})
+        train = rows["train"]
+        n, mean, ybar = train.n, train.sx / train.n, train.sy / train.n
+        cov, cxy, vy = train.around(mean, ybar)
+        usable = np.diag(cov) > CONSTANT_TOL * np.diag(train.sxx) / n
+        # Swept as a correlation matrix, so a column of small numbers
+        # (PageRank averages 1/N) weighs as much as any other.
+        scale = np.where(usable, np.sqrt(np.maximum(np.diag(cov), 0.0)), 1.0)
+        inverse, kept = sweep(np.where(np.outer(usable, usable), cov / np.outer(scale, scale), 0.0), usable)
+        inverse = inverse / np.outer(scale[kept], scale[kept])
+        beta = np.zeros(k)
+        beta[kept] = inverse @ cxy[kept]
+        out |= {
+            "n_train": [n],
+            "rank": [len(kept)],
+            "dropped": [",".join(f for i, f in enumerate(features) if i not in kept)],
+            "intercept": [ybar - float(beta @ mean)],
+            **{f"b_{i}": [float(beta[i])] for i in range(k)},
+        }
+        free = n - len(kept) - 1
+        if free > 0:
+            left = max(vy - float(beta @ cxy), 0.0) * n / free
+            error = {i: math.sqrt(left * v / n) for i, v in zip(kept, np.diag(inverse))}
+            at_mean = float(mean[kept] @ inverse @ mean[kept])
+            error["intercept"] = math.sqrt(left * (1.0 + at_mean) / n)
+            value = {**{i: float(beta[i]) for i in kept}, "intercept": out["intercept"][0]}
+            for i, e in error.items():
+                out[f"se_{i}"] = [e]
+                out[f"p_{i}"] = [t_two_sided(value[i] / e, free) if e else (0.0 if value[i] else 1.0)]
+        if test:
+            xx, xy, yy = test.around(mean, ybar)
+            out["mse"] = [max(float(yy - 2.0 * beta @ xy + beta @ xx @ beta), 0.0)]
+        return pd.DataFrame(out)
+
+    names = [group, "n_train", "n_test", "rank", "dropped", "intercept"]
+    slots = [*range(k), "intercept"]
+    names += [f"b_{i}" for i in range(k)] + [f"se_{i}" for i in slots] + [f"p_{i}" for i in slots] + ["mse"]
+    return lambda pdf: solve(pdf).reindex(columns=names)
 
-def predict(
-    df: DataFrame, coefs: DataFrame, features: list[str], group: str = "lifetime", max_groups: int = MAX_GROUPS
+
+def fit_by_group(
+    df: DataFrame, features: list[str], label: str = LABEL, group: str = "lifetime"
 ) -> DataFrame:
-    """ŷ for every row; ``coefs`` has one row per group.
+    """Least-squares fit per group from one aggregation pass.
 
-    The coefficient table is broadcast when its size is bounded: monthly
-    panels are built on the 0..12 spine, so ``lifetime`` has at most 13
-    values; any other group column is counted first.  A shuffle join on a
-    13-valued key would put a whole month of the panel in one task.
+    One row per group: ``n_train, n_test, rank, dropped, intercept``, the
+    coefficients ``b_i``, standard errors ``se_i`` and p-values ``p_i`` (``i`` the
+    feature's number, or ``intercept``), and the test rows' ``mse``.  Rows with
+    ``split`` = test are not fitted; without a ``split`` column all rows are.
+    A group without test rows has a null ``mse``.
     """
-    yhat = F.col("intercept")
-    for i, c in enumerate(features):
-        yhat = yhat + F.col(f"b_{i}") * F.col(c).cast("double")
-    small = group == "lifetime" or coefs.limit(max_groups + 1).count() <= max_groups
-    return df.join(F.broadcast(coefs) if small else coefs, group).withColumn("prediction", yhat)
+    k = len(features)
+    rows = df if "split" in df.columns else df.withColumn("split", F.lit("train"))
+    stats = rows.groupBy(group, "split").agg(*_moment_aggs(features, label))
+    slots = [*range(k), "intercept"]
+    reals = [f"b_{i}" for i in range(k)] + [f"se_{i}" for i in slots] + [f"p_{i}" for i in slots] + ["mse"]
+    schema = f"{group} bigint, n_train bigint, n_test bigint, rank int, dropped string, intercept double, "
+    return stats.groupBy(group).applyInPandas(_solver(features, group), schema + ", ".join(f"{c} double" for c in reals))
 
 
 def ols_by_month(
     df: DataFrame, features: list[str], label: str = LABEL, group: str = "lifetime", model: int = 0
 ) -> DataFrame:
-    """F16: per month — train size, test size and test-set MSE.
-
-    Fit and scoring sit in one plan over the same panel, so the panel's
-    shuffles run once and are reused by both sides.
-    """
+    """F16: per month — train size, test size, rank, dropped columns and test-set MSE."""
     split = df if "split" in df.columns else train_test_split(df)
-    coefs = fit_by_group(split.where(F.col("split") == "train"), features, label, group)
-    scored = predict(split.where(F.col("split") == "test"), coefs, features, group)
-    err = F.col(label).cast("double") - F.col("prediction")
-    return scored.groupBy(group, "n_train").agg(
-        F.count(F.lit(1)).alias("n_test"), F.avg(err * err).alias("mse")
-    ).select(F.lit(model).alias("model"), group, "n_train", "n_test", "mse")
+    fit = fit_by_group(split, features, label, group)
+    return fit.select(F.lit(model).alias("model"), group, "n_train", "n_test", "rank", "dropped", "mse")
 
 
 def mse_series(inputs: dict[int, DataFrame]) -> DataFrame:
@@ -173,6 +243,8 @@ def standardize(df: DataFrame, col: str, out_col: str | None = None, by: str | N
         mean, std = df.agg(F.avg(col), F.stddev_samp(col)).first()
         return df.withColumn(out_col, F.try_divide(F.col(col) - F.lit(mean), F.lit(std)))
     stats = df.groupBy(by).agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
+    if by == "lifetime":  # 13 rows: a shuffle join would put a whole month into one task
+        stats = F.broadcast(stats)
     return (
         df.join(stats, by)
         .withColumn(out_col, F.try_divide(F.col(col) - F.col("_mu"), F.col("_sd")))
@@ -180,33 +252,26 @@ def standardize(df: DataFrame, col: str, out_col: str | None = None, by: str | N
     )
 
 
-def coefficient_table(df: DataFrame, features: list[str], label: str = LABEL) -> DataFrame:
-    """coefficients, standard errors and p-values (MLlib normal solver).
+def coefficient_table(df: DataFrame, features: list[str], label: str = LABEL, group: str = "lifetime") -> DataFrame:
+    """coefficients, standard errors and p-values of every month, from the fit's own sums.
 
-    Standard errors need a full-rank design; when MLlib cannot provide them
-    they are null.  Output has one row per feature plus ``intercept``.
+    One row per month and feature, and one for the ``intercept``.  A dropped column has
+    coefficient 0 and null error and p-value; so have all where no degree of freedom is left.
     """
-    from pyspark.ml.regression import LinearRegression
-
-    spark = df.sparkSession
-    train = train_test_split(df).where(F.col("split") == "train")
-    # The solver makes several passes; they read one written copy of the
-    # training rows instead of re-running the input's lineage each time.
-    train = materialize(train.select(*features, label), "coef-train")
-    data = assemble(train, features).select("features", F.col(label).cast("double").alias("label"))
-    model = LinearRegression(solver="normal", labelCol="label", featuresCol="features").fit(data)
-    names = [*features, "intercept"]
-    coefs = [float(v) for v in model.coefficients] + [float(model.intercept)]
-    # MLlib has no standard errors for a design that is not of full rank.
-    fit = fit_by_group(train.withColumn("_all", F.lit(0).cast("bigint")), features, label, "_all").first()
-    if fit is not None and fit["rank"] == len(features) and fit["n_train"] > len(names):
-        se = [float(v) for v in model.summary.coefficientStandardErrors]
-        pv = [float(v) for v in model.summary.pValues]
-    else:
-        se = [None] * len(names)
-        pv = [None] * len(names)
-    rows = list(zip(names, coefs, se, pv))
-    return spark.createDataFrame(rows, "feature string, coefficient double, std_error double, p_value double")
+    fit = fit_by_group(train_test_split(df).where(F.col("split") == "train"), features, label, group)
+    names = [*[(str(i), f, F.col(f"b_{i}")) for i, f in enumerate(features)], ("intercept", "intercept", F.col("intercept"))]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("feature"),
+                value.alias("coefficient"),
+                F.col(f"se_{i}").alias("std_error"),
+                F.col(f"p_{i}").alias("p_value"),
+            )
+            for i, name, value in names
+        ]
+    )
+    return fit.select(group, F.explode(rows).alias("r")).select(group, "r.*")
 
 
 def model_comparison(series: DataFrame) -> DataFrame:

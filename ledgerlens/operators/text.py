@@ -19,7 +19,7 @@ from ledgerlens.functions import (
     text_tokens,
 )
 from ledgerlens.schema import EMOJI_CATEGORIES, NOT_CLASSIFIED, TEXT_CATEGORIES, emoji_class
-from ledgerlens.session import materialize
+from ledgerlens.session import materialize, release
 from ledgerlens.sources.dictionary import bounded
 
 # Order key of a dictionary entry: text entries first, then category rank,
@@ -122,10 +122,16 @@ def classified_side(
     classified = materialize(classify(payments, dictionary), "classified")
     small = classified.limit(max_broadcast + 1).count() <= max_broadcast
     side = F.broadcast(classified) if small else classified
-    memo[id(dictionary)] = (dictionary, side)
+    memo[id(dictionary)] = (dictionary, side, classified)
     return side
 
 
+def release_classified(payments: DataFrame) -> None:
+    """Remove what was stored of a log's classification, once its results are written."""
+    for *_, classified in payments.__dict__.pop("_ledgerlens_classified", {}).values():
+        release(classified)
+
+
 def payments_with_category(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Every payment with its description's category."""
     return payments.join(classified_side(payments, dictionary), "description", "left").select(

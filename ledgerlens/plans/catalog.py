@@ -9,23 +9,23 @@ never round.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import clock, features, graph, profile, rank, regress, text
 from ledgerlens.schema import MAX_LIFETIME, NOT_CLASSIFIED, PROFILE_COLUMNS
-from ledgerlens.session import materialize
-from ledgerlens.sources import derive_payments, fixture_dictionary, stored_payments
+from ledgerlens.session import materialize, scratch_dir
+from ledgerlens.sources import derive_payments, fixture_dictionary, read_panel, stored_payments, write_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fixed iteration count of the registered PageRank queries (the oracle unrolls
-# the same number of rounds).
-PAGERANK_ROUNDS = 20
 RANK_DIGITS = 12
 MSE_DIGITS = 6
+COEF_DIGITS = 6
 Z_DIGITS = 9
 SHARE_DIGITS = 7
 
@@ -38,10 +38,6 @@ def _pd(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return stored_payments(spark, sf_dir), fixture_dictionary(spark)
 
 
-def _ranks(payments: DataFrame) -> DataFrame:
-    return rank.page_rank(payments, max_iter=PAGERANK_ROUNDS, tol=None)
-
-
 def _round(df: DataFrame, cols: list[str], digits: int) -> DataFrame:
     return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -249,11 +245,11 @@ def q_clustering_coefficient(spark, d):
 
 
 def q_pagerank(spark, d):
-    return _round(_ranks(_p(spark, d)), ["PageRank"], RANK_DIGITS)
+    return _round(rank.page_rank(_p(spark, d)), ["PageRank"], RANK_DIGITS)
 
 
 def q_pagerank_by_month(spark, d):
-    ranks = rank.page_rank_by_month(_p(spark, d), max_iter=PAGERANK_ROUNDS, tol=None)
+    ranks = rank.page_rank_by_month(_p(spark, d))
     return _round(ranks, ["page_rank"], RANK_DIGITS)
 
 
@@ -292,7 +288,7 @@ def q_model2_input(spark, d):
 
 def q_model3_input(spark, d):
     p = _p(spark, d)
-    return _round(features.model3_input(p, _ranks(p)), ["page_rank"], RANK_DIGITS)
+    return _round(features.model3_input(p, rank.page_rank(p)), ["page_rank"], RANK_DIGITS)
 
 
 def q_dual_clock(spark, d):
@@ -306,7 +302,7 @@ def q_friend_profile(spark, d):
 
 def q_model4_input(spark, d):
     p, dic = _pd(spark, d)
-    return _round(features.model4_input(p, dic, _ranks(p)), ["page_rank"], RANK_DIGITS)
+    return _round(features.model4_input(p, dic, rank.page_rank(p)), ["page_rank"], RANK_DIGITS)
 
 
 def q_network_profile(spark, d):
@@ -325,40 +321,80 @@ def q_ols_by_month(spark, d):
     return _round(out, ["mse"], MSE_DIGITS)
 
 
+def _model3(p: DataFrame) -> DataFrame:
+    """The model-3 panel, written once for use by several passes."""
+    return materialize(features.model3_input(p), "model3")
+
+
 def _model_inputs(spark, d) -> dict[int, DataFrame]:
     p, dic = _pd(spark, d)
-    ranks = _ranks(p)
+    network = _model3(p)
     return {
         1: features.model1_input(p),
         2: features.model2_input(p, dic),
-        3: features.model3_input(p, ranks),
-        4: features.model4_input(p, dic, ranks),
+        3: network,
+        4: features.friend_profile(p, dic).join(network, ["user1", "lifetime"]),
     }
 
 
-def q_mse_series(spark, d):
-    return _round(regress.mse_series(_model_inputs(spark, d)), ["mse"], MSE_DIGITS)
+def q_assemble(spark, d):
+    """Feature vectors of model 2, taken apart again: a row per user, month and place in the vector."""
+    names = regress.MODEL_FEATURES[2]
+    vectors = regress.assemble(features.model2_input(*_pd(spark, d)), names)
+    parts = vectors.select("user1", F.col("lifetime").alias("month"), F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    return parts.select("user1", "month", "pos", F.element_at(F.array(*map(F.lit, names)), F.col("pos") + 1).alias("feature"), "value")
 
 
-def _month12(p: DataFrame) -> DataFrame:
-    """Month-12 slice of the model-3 panel, written once for multi-pass use."""
-    return materialize(features.model3_input(p, _ranks(p)).where(F.col("lifetime") == MAX_LIFETIME), "m12")
+def q_mse_series(spark, d):
+    return _round(regress.mse_series(_model_inputs(spark, d)), ["mse"], MSE_DIGITS)
 
 
 def q_standardize(spark, d):
-    m12 = _month12(_p(spark, d))
+    m12 = _model3(_p(spark, d)).where(F.col("lifetime") == MAX_LIFETIME)
     z = regress.standardize(m12, "page_rank").drop("page_rank")
     return _round(z, ["std_page_rank"], Z_DIGITS)
 
 
 def q_coefficient_table(spark, d):
-    m12 = _month12(_p(spark, d))
-    z = regress.standardize(m12, "page_rank")
-    return regress.coefficient_table(z, [*regress.NETWORK_FEATURES[:3], "std_page_rank"])
+    z = regress.standardize(_model3(_p(spark, d)), "page_rank", by="lifetime")
+    table = regress.coefficient_table(z, [*regress.NETWORK_FEATURES[:3], "std_page_rank"])
+    return _round(table, ["coefficient", "std_error", "p_value"], COEF_DIGITS)
 
 
 def q_model_comparison(spark, d):
-    return regress.model_comparison(regress.mse_series(_model_inputs(spark, d)))
+    # months that a model fits exactly have errors of rounding size, which must not decide which is best
+    series = _round(regress.mse_series(_model_inputs(spark, d)), ["mse"], MSE_DIGITS)
+    wide = regress.model_comparison(series)
+    return _round(wide, [c for c in wide.columns if c.startswith("delta_")], MSE_DIGITS)
+
+
+# ------------------------------------------------------------- A3 / A4 -----
+def _panel_path(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def q_write_panel(spark, d):
+    """The recency/frequency panel stored by month, its last month then written again; nothing is doubled."""
+    path = _panel_path(spark, "panel")
+    panel = features.rf_model(_p(spark, d))
+    write_panel(panel, path)
+    write_panel(panel.where(F.col("lifetime") == MAX_LIFETIME), path)
+    return _month_as_long(read_panel(spark, path))
+
+
+def q_read_panel(spark, d):
+    """Stored recency/frequency rows of the months after the first with most payments, found at run time."""
+    path = _panel_path(spark, "panel")
+    write_panel(features.rf_panel(_p(spark, d)), path)
+    totals = read_panel(spark, path).groupBy("lifetime").agg(F.sum("num_txn").alias("paid"))
+    totals = materialize(totals.where("lifetime > 0"), "panel-months")
+    most = totals.agg(F.max("paid")).first()[0]
+    return _month_as_long(read_panel(spark, path, months=totals.where(F.col("paid") >= F.lit(most))))
+
+
+def _month_as_long(panel: DataFrame) -> DataFrame:
+    """A partition column comes back as int."""
+    return panel.withColumn("lifetime", F.col("lifetime").cast("bigint"))
 
 
 QUERIES: dict[str, Query] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import regex
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -25,8 +26,6 @@ EMOJI_CATEGORIES = TEXT_CATEGORIES[:7]
 NOT_CLASSIFIED = "Not_classified"
 # Dictionary CSV header spelling of the last text category.
 CSV_HEADER_ALIASES = {"Illegal/Sarcasm": "Illegal_Sarcasm"}
-# Emoji code points: U+1F300..U+1FAFF and U+2600..U+27BF.
-EMOJI_RANGES = [(0x1F300, 0x1FAFF), (0x2600, 0x27BF)]
 # Lifetime months kept in every panel: 0 (day of first payment) .. 12.
 MAX_LIFETIME = 12
 DAYS_PER_MONTH = 30
@@ -58,6 +57,21 @@ DICTIONARY_SCHEMA = T.StructType(
 )
 
 
+def _emoji_ranges() -> list[tuple[int, int]]:
+    """Code points with the Unicode property Emoji that are an emoji by themselves.
+
+    ASCII (digits, # and *) and regional indicators have the property only as
+    parts of sequences.
+    """
+    beyond_ascii = "".join(chr(c) for c in (*range(0x80, 0xD800), *range(0xE000, 0x20000)))
+    runs = regex.finditer(r"(?V1)[\p{Emoji}--[\U0001F1E6-\U0001F1FF]]+", beyond_ascii)
+    return [(ord(r[0][0]), ord(r[0][-1])) for r in runs]
+
+
+# First and last code point of every run of emoji.
+EMOJI_RANGES = _emoji_ranges()
+
+
 def emoji_class() -> str:
     """Regex character class of emoji code points (Java and RE2 syntax)."""
     parts = "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in EMOJI_RANGES)

@@ -74,6 +74,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder inside the checkpoint folder; ``clear_scratch`` removes it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the checkpoint folder and read it back.
 
@@ -83,6 +88,27 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     re-reads the files instead of recomputing.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.__dict__["_ledgerlens_path"] = path
+    return stored
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(stored: DataFrame) -> None:
+    """Remove the files (and the name, if any) of a stored table that nothing reads any more."""
+    path, table = (stored.__dict__.pop(k, None) for k in ("_ledgerlens_path", "_ledgerlens_table"))
+    if table:
+        stored.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    if path:
+        _delete(stored.sparkSession, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has stored; results that read it must have been written before."""
+    _delete(spark, scratch_dir(spark))

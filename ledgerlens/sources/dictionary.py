@@ -64,13 +64,17 @@ def dictionary_long(wide: DataFrame, src: str) -> DataFrame:
 
     Emoji cells keep only their first code point.  ``pos`` follows file
     order (``monotonically_increasing_id`` is increasing in file order).
+    Every category must have its column, if only an empty one; other columns
+    are not looked at.
     """
     allowed = TEXT_CATEGORIES if src == "text" else EMOJI_CATEGORIES
     renamed = wide
     for raw, clean in CSV_HEADER_ALIASES.items():
         if raw in renamed.columns:
             renamed = renamed.withColumnRenamed(raw, clean)
-    present = [c for c in allowed if c in renamed.columns]
+    missing = [c for c in allowed if c not in renamed.columns]
+    if missing:
+        raise ValueError(f"the {src} dictionary has no column for {', '.join(missing)}")
     stacked = (
         renamed.withColumn("_row", F.monotonically_increasing_id())
         .select(
@@ -83,7 +87,7 @@ def dictionary_long(wide: DataFrame, src: str) -> DataFrame:
                             F.lit(c).alias("category"),
                             F.col(f"`{c}`").alias("token"),
                         )
-                        for c in present
+                        for c in allowed
                     ]
                 )
             ).alias("e"),

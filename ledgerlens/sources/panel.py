@@ -37,9 +37,22 @@ def write_panel(
 
 
 def read_panel(
-    spark: SparkSession, path: str, lifetime: int | None = None, partition_col: str = "lifetime"
+    spark: SparkSession,
+    path: str,
+    lifetime: int | None = None,
+    partition_col: str = "lifetime",
+    months: DataFrame | None = None,
 ) -> DataFrame:
+    """The stored panel, one month of it, or the months listed in a table.
+
+    ``months`` has a row per wanted month; its values need not be known when the
+    query is planned, the scan still opens only their partitions.  It is
+    broadcast, so it is first reduced to distinct values, of which there are no
+    more than partitions.
+    """
     df = spark.read.parquet(path)
     if lifetime is not None:
         df = df.where(F.col(partition_col) == lifetime)
+    if months is not None:
+        df = df.join(F.broadcast(months.select(partition_col).distinct()), partition_col)
     return df

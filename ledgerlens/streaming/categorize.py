@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.operators.text import payments_with_category
+from ledgerlens.operators.text import payments_with_category, release_classified
 from ledgerlens.schema import PAYMENT_SCHEMA
 from ledgerlens.session import checkpoint_dir
 
@@ -48,6 +48,7 @@ def categorized_batches(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = payments_with_category(batch, dictionary)
         out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        release_classified(batch)
 
     writer = (
         payment_stream(spark, source_dir, max_files_per_trigger)

@@ -1,6 +1,10 @@
 """Hand-made graphs (FIXTURES.md §5)."""
 
+import random
+
+import pytest
 from conftest import as_dict
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import clock, features, graph, rank
 
@@ -166,3 +170,54 @@ def test_network_profile_sees_no_later_payment(spark, make_payments):
     rows = features.network_profile(p, fixture_dictionary(spark)).where("hop = 1")
     of_a = {r.lifetime: (r.n_contacts, r.Food, r.Transportation) for r in rows.where(f"user1 = {A}").collect()}
     assert of_a == {m: (1, 1.0, 0.0) if m < 2 else (1, 0.5, 0.5) for m in range(13)}
+
+
+def test_network_profile_does_not_know_a_contact_who_pays_later(spark, make_payments):
+    """A pays B on day 0; B pays nobody until day 270, which is A's month 9 (days 241 to 270)."""
+    from ledgerlens.sources import fixture_dictionary
+
+    p = make_payments([(A, B, 0, "cold"), (B, C, 270, "rod")])
+    rows = features.network_profile(p, fixture_dictionary(spark)).where("hop = 1")
+    of_a = {r.lifetime: (r.n_contacts, r.Transportation) for r in rows.where(f"user1 = {A}").collect()}
+    assert of_a == {m: (1, 1.0) for m in range(9, 13)}
+    # C starts on day 270 and knows B, whose first month is over that very day
+    of_c = {r.lifetime: (r.n_contacts, r.Transportation) for r in rows.where(f"user1 = {C}").collect()}
+    assert of_c == {m: (1, 1.0) for m in range(13)}
+
+
+def test_network_profile_counts_months_of_both_clocks(spark, make_payments):
+    """B is 40 days older than A: B's month 2 (days 31 to 60) ends 20 days into A's life, in A's month 1."""
+    from ledgerlens.sources import fixture_dictionary
+
+    p = make_payments([(B, C, 0, "cold"), (B, C, 55, "rod"), (A, B, 40, "bolt"), (B, C, 85, "anvil")])
+    rows = features.network_profile(p, fixture_dictionary(spark)).where("hop = 1")
+    of_a = {r.lifetime: (r.Food, r.Transportation, r.Illegal_Sarcasm) for r in rows.where(f"user1 = {A}").collect()}
+    # as of day 40 only B's months 0 and 1 are over; from day 70 on month 2, from day 100 on month 3
+    assert of_a[0] == (1.0, 0.0, 0.0)
+    assert of_a[1] == (0.5, 0.5, 0.0)
+    assert of_a[2] == pytest.approx((1 / 3, 1 / 3, 1 / 3)) and of_a[12] == of_a[2]
+
+
+def test_hub_grid_changes_no_result(make_payments):
+    """A hub with a third of the pairs, joined through in blocks of 7 neighbours."""
+    rng = random.Random(11)
+    hub = [(0, u, u % 50) for u in range(1, 80)]
+    other = [(rng.randrange(1, 80), rng.randrange(1, 80), rng.randrange(200)) for _ in range(160)]
+    p = make_payments([r for r in hub + other if r[0] != r[1]])
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(graph.two_hop(p, hub_block=7)) == rows(graph.two_hop(p))
+    small = graph.fof_first_met(p, keep_null=False, hub_block=7)
+    assert rows(small) == rows(graph.fof_first_met(p, keep_null=False))
+
+
+def test_hub_grid_bounds_every_key(make_payments):
+    """No key of the join through a hub has more than about a block of rows on either side."""
+    p = make_payments([(0, u, u % 30) for u in range(1, 2001)] + [(u, u + 1, 40) for u in range(1, 2000)])
+    g = graph.graph_of(p)
+    pairs = graph.friend_pairs(p)
+    left = pairs.select("user1", F.col("user2").alias("via"))
+    right = pairs.select(F.col("user1").alias("via"), F.col("user2").alias("far"))
+    rows, cols = graph.hub_grid(left, right, g.degree, 100)
+    for side in (rows, cols):
+        assert side.groupBy("via", "_row", "_col").count().agg(F.max("count")).first()[0] < 200
+    assert rows.where("via = 0").select("_row", "_col").distinct().count() == 400

@@ -3,11 +3,12 @@
 import os
 import tempfile
 
+import pytest
 from conftest import DAY0
 
 from ledgerlens.operators import text
 from ledgerlens.schema import PAYMENT_SCHEMA
-from ledgerlens.sources import fixture_dictionary, read_dictionaries
+from ledgerlens.sources import dictionary_long, fixture_dictionary, read_dictionaries
 
 CASES = [
     (None, "Not_classified"),
@@ -44,6 +45,21 @@ def test_emoji_flags_and_extraction(spark):
     assert counts["People"] == 0
 
 
+def test_emoji_are_the_code_points_with_the_property(spark):
+    """⭐ ⏰ © are emoji outside the pictograph blocks; ★ ✓ and digits are none, nor is half a flag."""
+    p = _payments(spark, ["⭐", "⏰", "✔", "★", "✓", "7#*", "🇩🇪", "🏻"])
+    assert [r.emoji_only for r in text.emoji_only_flag(p).orderBy("user1").collect()] == [1, 1, 1, 0, 0, 0, 0, 1]
+    flags = {r.description: r.has_emoji for r in text.contains_emoji_flag(p).collect()}
+    assert [flags[d] for d in ("⭐", "⏰", "★", "✓", "7#*")] == [True, True, False, False, False]
+    assert [r.emoji for r in text.with_emojis(_payments(spark, ["a⭐★b⏰✓🍕"])).collect()] == ["⭐⏰🍕"]
+
+
+def test_dictionary_without_a_category_column_is_an_error(spark):
+    wide = spark.createDataFrame([("ring", "plate")], "Event string, Travel string")
+    with pytest.raises(ValueError, match="no column for Food"):
+        dictionary_long(wide, "text")
+
+
 def test_dictionary_csv_long_form(spark):
     folder = tempfile.mkdtemp(prefix="ledgerlens-dict-")
     tpath = os.path.join(folder, "text.csv")
