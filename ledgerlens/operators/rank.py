@@ -15,9 +15,8 @@ ranks have settled is frozen and no longer computed.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import lifetime_month
@@ -114,33 +113,37 @@ def pagerank_family(
         slim = slim.withColumn("salt", F.lit(0))
     stored = _bucketed(slim, ["src", "salt"], buckets)
 
-    def step(now: DataFrame) -> DataFrame:
-        has_edge = reduce(lambda a, b: a | b, [F.col(f"d{m}") > 0 for m in open_])
-        # one copy of each row per salt bucket of its node (1 for all but hot sources)
-        sent = now.where(has_edge).select(
-            F.col("node").alias("src"),
-            F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"),
-            *[F.try_divide(f"r{m}", f"d{m}").alias(f"q{m}") for m in open_],
+    degrees = [f"d{m}" for m in months]
+
+    def step(now: DataFrame, change: Observation) -> DataFrame:
+        # SQL text: a round has some hundred small expressions, and the driver builds them every time
+        sent = now.where(" OR ".join(f"d{m} > 0" for m in open_)).selectExpr(
+            "node AS src",
+            # one copy of each row per salt bucket of its node (1 for all but hot sources)
+            "explode(sequence(0, s - 1)) AS salt",
+            *[f"try_divide(r{m}, d{m}) AS q{m}" for m in open_],
         )
-        share = {m: F.col(f"q{m}") if graphs == 1 else F.when(F.col("first") <= m, F.col(f"q{m}")) for m in open_}
-        sums = stored.join(sent, ["src", "salt"]).groupBy("dst").agg(*[F.sum(share[m]).alias(f"t{m}") for m in open_])
-        new = {m: F.lit((1.0 - alpha) / size[m]) + F.lit(alpha) * F.coalesce(F.col(f"t{m}"), F.lit(0.0)) for m in open_}
-        new = {m: F.when(F.col(f"d{m}") > 0, c).otherwise(0.0) for m, c in new.items()}
-        return now.join(sums, F.col("node") == F.col("dst"), "left").select(
-            "node",
-            "s",
-            *[f"d{m}" for m in months],
-            *[(new[m] if m in new else F.col(f"r{m}")).alias(f"r{m}") for m in months],
-            *[F.abs(new[m] - F.col(f"r{m}")).alias(f"e{m}") for m in open_],
+        share = [F.expr(f"sum(CASE WHEN first <= {m} THEN q{m} END) AS t{m}") for m in open_]
+        sums = stored.join(sent, ["src", "salt"]).groupBy("dst").agg(*share)
+        new = {
+            m: f"CASE WHEN d{m} > 0 THEN {(1.0 - alpha) / size[m]!r}D + {alpha!r}D * coalesce(t{m}, 0D) ELSE 0D END"
+            for m in open_
+        }
+        made = now.join(sums, F.col("node") == F.col("dst"), "left").selectExpr(
+            "node", "s", *degrees, *[f"r{m} AS old{m}" for m in open_], *[f"{new.get(m, f'r{m}')} AS r{m}" for m in months]
         )
+        made = made.observe(change, *[F.expr(f"sum(abs(r{m} - old{m})) AS e{m}") for m in open_])
+        return made.selectExpr("node", "s", *degrees, *[f"r{m}" for m in months])
 
     for _ in range(max_iter):
-        new = materialize(step(state), "pagerank-ranks")
+        # summed up by the tasks that write the new ranks
+        change = Observation()
+        new = materialize(step(state, change), "pagerank-ranks")
         release(state)
         state = new
         if tol is not None:
-            change = state.agg(*[F.sum(f"e{m}").alias(f"e{m}") for m in open_]).first()
-            open_ = [m for m in open_ if change[f"e{m}"] >= tol * size[m]]
+            moved = change.get
+            open_ = [m for m in open_ if moved[f"e{m}"] >= tol * size[m]]
             if not open_:
                 break
     # the last round is written, so nothing reads the edges and degrees any more
@@ -148,7 +151,7 @@ def pagerank_family(
     release(nodes)
     if tol is not None and open_:
         raise RuntimeError(f"PageRank did not reach the tolerance {tol} in {max_iter} rounds")
-    return state.select("node", *[f"d{m}" for m in months], *[f"r{m}" for m in months])
+    return state.select("node", *degrees, *[f"r{m}" for m in months])
 
 
 def pagerank(
