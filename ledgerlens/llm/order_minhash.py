@@ -43,8 +43,9 @@ BLOCK_WORDS = 1_000_000
 PAIRS = 256
 #: cells of a text's word histogram, by which pairs are passed over before they are aligned
 CELLS = 1024
-#: cells of the alignment band that a batch of pairs holds at once
+#: cells of the alignment band, and words of the padded texts, that a batch of pairs holds at once
 BAND_CELLS = 500_000
+BATCH_WORDS = 2_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -137,11 +138,13 @@ def edit_limit(n: int, m: int, similarity: float = SIMILARITY) -> int:
 def alignments(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
     """Whether each pair of word sequences has an edit similarity of ``similarity`` or more.
 
-    The band starts narrow and doubles for pairs that do not fit it, up to the
-    edits that the similarity allows.  Pairs are aligned in batches.
+    A pair starts with the narrowest band that its shared words and word pairs
+    allow; the band doubles, up to the edits that the similarity allows, as soon
+    as every way inside it costs more than it is wide.  Pairs are aligned in batches.
     """
     verdict = np.zeros(len(pairs), bool)
-    left, todo = {}, []
+    left: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+    todo: dict[int, list[int]] = {}
     for i, (a, b) in enumerate(pairs):
         limit = edit_limit(len(a), len(b), similarity)
         if abs(len(a) - len(b)) > limit:
@@ -153,64 +156,93 @@ def alignments(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = S
         n = min(len(a), len(b))
         back = 0 if not n else n if not (diff := a[::-1][:n] != b[::-1][:n]).any() else int(diff.argmax())
         a, b = a[: len(a) - back], b[: len(b) - back]
-        # words without a counterpart bound the edits from below
-        _, code = np.unique(np.r_[a, b], return_inverse=True)
-        k = int(code.max()) + 1 if len(code) else 0
-        common = np.minimum(np.bincount(code[: len(a)], minlength=k), np.bincount(code[len(a) :], minlength=k)).sum()
-        if max(len(a), len(b)) - common > limit:
-            continue
         if not len(a) or not len(b):
-            verdict[i] = True
+            verdict[i] = max(len(a), len(b)) <= limit
+            continue
+        # an edit takes away one shared word and at most two shared word pairs
+        _, code = np.unique(np.r_[a, b], return_inverse=True)
+        a, b, longer = code[: len(a)], code[len(a) :], max(len(a), len(b))
+        least = longer - _common(a, b)
+        if least <= limit and min(len(a), len(b)) > 1:
+            span = int(code.max()) + 1
+            least = max(least, -(-(longer - 1 - _common(a[:-1] * span + a[1:], b[:-1] * span + b[1:])) // 2))
+        if least > limit:
             continue
-        left[i] = (code[: len(a)] + 1, code[len(a) :] + 1, limit)
-        todo.append(i)
-    band = 8
+        left[i] = (a.astype(np.int32) + 1, b.astype(np.int32) + 1, limit)
+        band = 8
+        while band < least:
+            band *= 2
+        todo.setdefault(min(band, limit), []).append(i)
     while todo:
-        todo.sort(key=lambda i: max(len(left[i][0]), len(left[i][1])))
-        wider = []
-        per = max(1, BAND_CELLS // (2 * band + 1) // 8)
-        for at in range(0, len(todo), per):
-            batch = todo[at : at + per]
+        band = min(todo)
+        ready = sorted(todo.pop(band), key=lambda i: max(len(left[i][0]), len(left[i][1])))
+        at = 0
+        while at < len(ready):
+            # as many pairs as fit into the cells, by the band and by the length of the longest
+            longest = [max(len(left[i][0]), len(left[i][1])) for i in ready[at : at + BAND_CELLS // (2 * band + 1) // 8 + 1]]
+            size = np.arange(1, len(longest) + 1)
+            fits = (size * (2 * band + 1) * 8 <= BAND_CELLS) & (size * np.array(longest) <= BATCH_WORDS)
+            batch = ready[at : at + max(1, int(fits.sum()))]
+            at += len(batch)
             edits = _banded([left[i][:2] for i in batch], band)
             for i, d in zip(batch, edits):
-                if d <= left[i][2]:
-                    verdict[i] = d <= band or band >= left[i][2]
-                    if not verdict[i]:
-                        wider.append(i)
-                elif band < left[i][2]:
-                    wider.append(i)
-        todo, band = wider, band * 2
+                limit = left[i][2]
+                verdict[i] = d <= min(band, limit)
+                if d > band and band < limit:
+                    todo.setdefault(min(band * 2, limit), []).append(i)
     return verdict
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two bags."""
+    _, code = np.unique(np.r_[a, b], return_inverse=True)
+    k = int(code.max()) + 1
+    return int(np.minimum(np.bincount(code[: len(a)], minlength=k), np.bincount(code[len(a) :], minlength=k)).sum())
+
+
 def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
-    """Edit distances of pairs of sequences inside a diagonal band; never too small."""
-    far = 1 << 30
+    """Edit distances of pairs of sequences inside a diagonal band; a large number for those beyond ``band``.
+
+    A pair leaves the batch when every entry of its row is more than the band,
+    since entries never fall from row to row.
+    """
+    far = np.int32(1 << 29)
     n = np.array([len(a) for a, _ in pairs])
     m = np.array([len(b) for _, b in pairs])
     width = 2 * band + 1
-    first = np.zeros((len(pairs), n.max()), np.int64)
-    second = np.full((len(pairs), n.max() + m.max() + 2 * width), -1, np.int64)
+    first = np.zeros((len(pairs), n.max()), np.int32)
+    second = np.full((len(pairs), n.max() + m.max() + 2 * width), -1, np.int32)
     for p, (a, b) in enumerate(pairs):
         first[p, : len(a)] = a
         second[p, band + 1 : band + 1 + len(b)] = b
-    step = np.arange(width)
-    j = step - band  # column minus row
-    row = np.where(j >= 0, j, far).astype(np.int64)[None, :].repeat(len(pairs), 0)
-    out = np.full(len(pairs), far)
-    for i in range(1, n.max() + 1):
+    step = np.arange(width, dtype=np.int32)
+    j = step - np.int32(band)  # column minus row
+    row = np.where(j >= 0, j, far).astype(np.int32)[None, :].repeat(len(pairs), 0)
+    out = np.full(len(pairs), int(far))
+    who = np.arange(len(pairs))
+    edge = np.full((len(pairs), 1), far, np.int32)
+    for i in range(1, int(n.max()) + 1):
         differ = second[:, i : i + width] != first[:, i - 1 : i]
-        up = np.concatenate([row[:, 1:], np.full((len(pairs), 1), far)], 1) + 1
+        up = np.concatenate([row[:, 1:], edge[: len(row)]], 1)
+        up += np.int32(1)
         row = np.minimum(row + differ, up)
-        column = i + j
-        row[:, column < 0] = far
-        row[:, column == 0] = i
-        row = np.minimum.accumulate(row - step, 1) + step
-        done = np.flatnonzero(n == i)
+        if i <= band:
+            row[:, : band - i] = far
+            row[:, band - i] = i
+        row -= step
+        np.minimum.accumulate(row, 1, out=row)
+        row += step
+        done = np.flatnonzero(n[who] == i)
         if len(done):
-            at = m[done] - i + band
+            at = m[who[done]] - i + band
             fits = (at >= 0) & (at < width)
-            out[done[fits]] = row[done[fits], at[fits]]
+            out[who[done[fits]]] = row[done[fits], at[fits]]
+        if len(done) or i % 8 == 0:
+            stay = (row.min(1) <= band) & (n[who] > i)
+            if not stay.any():
+                break
+            if len(done) or stay.mean() < 0.75:
+                who, first, second, row = who[stay], first[stay], second[stay], row[stay]
     return out
 
 
