@@ -1,16 +1,22 @@
 """Operator 3: line dedup by a fixed-depth log-template tree, in DataFrame functions only.
 
 A line's path in the tree is its token count and its first ``depth`` tokens
-with runs of digits generalised; a leaf is a template, its later tokens are
-the variable part.  The first document (smallest id) that holds a leaf gives
-the leaf's representative.  A line follows the representative if enough of
-its later tokens, compared in ``FIELDS`` stretches, agree.  Lines of a template
-that occurs in ``min_docs`` documents or more are dropped everywhere but in
-the first one, so no content is lost altogether.
+with runs of digits generalised; the later tokens are cut into ``FIELDS``
+stretches.  A leaf holds several templates: a template fixes half of the
+stretches that hold tokens (rounded up) and leaves the others variable, so a
+line follows one template for each such half, and a line that ends with its
+path follows one.  A template that occurs in ``min_docs`` documents or more
+recurs, and its lines are dropped everywhere but in the first document
+(smallest id) that has it, so no content is lost altogether.
+
+Only paths that enough documents share can hold a recurring template; the
+templates of all other lines are never made.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +31,11 @@ MIN_DOCS = 3
 MIN_TOKENS = 4
 #: stretches into which the tokens after the path are cut
 FIELDS = 4
-#: stretches that must agree with the leaf's representative
-MIN_SAME = 2
+
+
+def halves(held: int) -> list[tuple[int, ...]]:
+    """Stretches that a template of a line with so many stretches fixes; the first stretches are those that hold tokens."""
+    return list(combinations(range(held), -(-held // 2)))
 
 
 def _lines(text: F.Column) -> F.Column:
@@ -41,20 +50,30 @@ def _template(line: F.Column, depth: int) -> F.Column:
     # stretch i holds the tail's tokens i*step to (i+1)*step; prefixes of the tail cost no token array
     tail = F.substring(plain, F.length(head) + 2, F.length(plain))
     step = F.greatest(F.lit(1), F.ceil((count - depth) / F.lit(FIELDS))).cast("int")
+    held = F.greatest(F.lit(0), F.ceil((count - depth) / step)).cast("int").alias("held")
     ends = [F.lit("")] + [F.call_function("substring_index", tail, F.lit(" "), step * (i + 1)) for i in range(FIELDS)]
-    parts = [F.hash(F.substring(ends[i + 1], F.length(ends[i]) + 1, F.length(plain))).alias(f"f{i}") for i in range(FIELDS)]
-    return F.struct(count.alias("tokens"), F.xxhash64(count, head).alias("leaf"), F.struct(*parts).alias("fields"))
+    parts = [F.xxhash64(F.substring(ends[i + 1], F.length(ends[i]) + 1, F.length(plain))).alias(f"f{i}") for i in range(FIELDS)]
+    return F.struct(count.alias("tokens"), F.xxhash64(count, head).alias("leaf"), held, F.struct(*parts).alias("fields"))
 
 
 def line_table(df: DataFrame, id_col: str, text_col: str, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """``row``, ``doc``, ``at``, ``leaf``, ``fields`` of every line with ``min_tokens`` tokens or more."""
+    """``doc``, ``text_hash``, ``at``, ``leaf``, ``held``, ``fields`` of every line with ``min_tokens`` tokens or more."""
     lines = df.select(
-        F.xxhash64(col(id_col), col(text_col)).alias("row"),
         col(id_col).alias("doc"),
+        F.xxhash64(col(text_col)).alias("text_hash"),
         F.posexplode(_lines(col(text_col))).alias("at", "line"),
     )
-    made = lines.select("row", "doc", "at", _template(F.col("line"), depth).alias("t"))
-    return made.where(F.col("t.tokens") >= min_tokens).select("row", "doc", "at", "t.leaf", "t.fields")
+    made = lines.select("doc", "text_hash", "at", _template(F.col("line"), depth).alias("t"))
+    return made.where(F.col("t.tokens") >= min_tokens).select("doc", "text_hash", "at", "t.leaf", "t.held", "t.fields")
+
+
+def _followed() -> F.Column:
+    """Hashes of all templates that a line follows."""
+    made = F.array(F.col("leaf"))
+    for held in range(1, FIELDS + 1):
+        kept = [F.xxhash64("leaf", F.lit(held), F.lit(str(half)), *[f"fields.f{i}" for i in half]) for half in halves(held)]
+        made = F.when(F.col("held") == held, F.array(*kept)).otherwise(made)
+    return made
 
 
 def drop_templates(
@@ -64,7 +83,6 @@ def drop_templates(
     depth: int = DEPTH,
     min_docs: int = MIN_DOCS,
     min_tokens: int = MIN_TOKENS,
-    min_same: int = MIN_SAME,
 ) -> DataFrame:
     """The table with recurring lines taken out of its texts, and ``n_lines``, ``n_dropped``.
 
@@ -76,26 +94,28 @@ def drop_templates(
     """
     columns = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
     lines = materialize(line_table(df, id_col, text_col, depth, min_tokens), "lines")
-    # a document's own repeats of a leaf are one; the sum over documents combines on the map side
-    per_doc = lines.groupBy("leaf", "doc").agg(F.min(F.struct("at", "fields")).alias("first"))
-    leaves = per_doc.groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc", "first")).alias("own"))
-    leaves = materialize(
-        leaves.where(F.col("docs") >= min_docs).select(
-            "leaf", F.col("own.doc").alias("owner"), F.col("own.first.fields").alias("template")
-        ),
-        "leaves",
+    # a document's own repeats are one; the count over documents combines on the map side
+    shared = lines.groupBy("leaf", "doc").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("one").alias("docs"))
+    shared = materialize(shared.where(F.col("docs") >= min_docs).select("leaf"), "leaves")
+    followed = lines.join(shared, "leaf").select("doc", "text_hash", "at", F.explode(_followed()).alias("template"))
+    followed = materialize(followed, "templates")
+    recurring = (
+        followed.groupBy("template", "doc").agg(F.lit(1).alias("one"))
+        .groupBy("template").agg(F.count("one").alias("docs"), F.min("doc").alias("owner"))
     )
-    same = sum(F.when(F.col(f"fields.f{i}") == F.col(f"template.f{i}"), 1).otherwise(0) for i in range(FIELDS))
+    recurring = materialize(recurring.where(F.col("docs") >= min_docs).select("template", "owner"), "recurring")
     gone = (
-        lines.join(leaves, "leaf")
-        .where(~F.col("doc").eqNullSafe(F.col("owner")) & (same >= min_same))
-        .groupBy(F.col("row").alias("__llm_row"))
+        followed.join(recurring, "template")
+        .where(~F.col("doc").eqNullSafe(F.col("owner")))
+        .groupBy(F.col("doc").alias("__llm_doc"), F.col("text_hash").alias("__llm_text"))
         .agg(F.collect_set("at").alias("__llm_gone"))
     )
     split = _lines(col(text_col))
     kept = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("__llm_gone", i)), "\n")
-    joined = df.select(*[col(c) for c in columns], F.xxhash64(col(id_col), col(text_col)).alias("__llm_row")).join(
-        gone.hint("shuffle_hash"), "__llm_row", "left"
+    joined = df.select(*[col(c) for c in columns]).join(
+        gone.hint("shuffle_hash"),
+        col(id_col).eqNullSafe(F.col("__llm_doc")) & (F.xxhash64(col(text_col)) == F.col("__llm_text")),
+        "left",
     )
     fields = [
         F.when(F.col("__llm_gone").isNull(), col(c)).otherwise(kept).alias(c) if c == text_col else col(c) for c in columns
@@ -106,7 +126,16 @@ def drop_templates(
     )
 
 
-# The same in SQL over the view ``documents``; two stretches lists are compared token by token.
+def _sql_templates() -> str:
+    """The templates of a line as lists: the stretches that are fixed, with their numbers."""
+    cases = [
+        f"WHEN held = {held} THEN [" + ", ".join("[" + ", ".join(f"'{i}=' || f{i}" for i in half) + "]" for half in halves(held)) + "]"
+        for held in range(1, FIELDS + 1)
+    ]
+    return f"CASE {' '.join(cases)} ELSE [['']] END"
+
+
+# The same in SQL over the view ``documents``, with texts in place of hashes.
 SQL = f"""
 WITH lines AS (
   SELECT doc_id, text, i - 1 AS pos, regexp_replace(trim(parts[i]), '[0-9]+', '0', 'g') AS plain
@@ -115,20 +144,19 @@ WITH lines AS (
 tokens AS (
   SELECT doc_id, text, pos, string_split(plain, ' ') AS t FROM lines),
 cut AS (
-  SELECT doc_id, text, pos, len(t) AS n, t[1:{DEPTH}] AS head,
+  SELECT doc_id, text, pos, len(t) AS n, array_to_string(t[1:{DEPTH}], ' ') AS head,
          t[{DEPTH + 1}:] AS tail, greatest(1, CAST(ceil((len(t) - {DEPTH}) / {FIELDS}.0) AS BIGINT)) AS step
   FROM tokens WHERE len(t) >= {MIN_TOKENS}),
 fields AS (
-  SELECT doc_id, text, pos, n, head, {", ".join(f"coalesce(tail[{i} * step + 1:{i + 1} * step], []) AS f{i}" for i in range(FIELDS))} FROM cut),
-firsts AS (
-  SELECT *, row_number() OVER (PARTITION BY n, head ORDER BY doc_id, pos) AS place FROM fields),
-leaves AS (
-  SELECT n, head, count(DISTINCT doc_id) AS docs FROM fields GROUP BY n, head HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+  SELECT doc_id, text, pos, n, head, greatest(0, CAST(ceil((n - {DEPTH}) / CAST(step AS DOUBLE)) AS BIGINT)) AS held,
+         {", ".join(f"array_to_string(tail[{i} * step + 1:{i + 1} * step], ' ') AS f{i}" for i in range(FIELDS))} FROM cut),
+followed AS (
+  SELECT doc_id, text, pos, n, head, unnest({_sql_templates()}) AS template FROM fields),
+recurring AS (
+  SELECT n, head, template, min(doc_id) AS owner FROM followed
+  GROUP BY n, head, template HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
 gone AS (
-  SELECT DISTINCT l.doc_id, l.text, l.pos
-  FROM fields l JOIN leaves v USING (n, head) JOIN firsts o ON o.n = l.n AND o.head = l.head AND o.place = 1
-  WHERE l.doc_id <> o.doc_id
-    AND {" + ".join(f"CAST(l.f{i} = o.f{i} AS INT)" for i in range(FIELDS))} >= {MIN_SAME}),
+  SELECT DISTINCT doc_id, text, pos FROM followed JOIN recurring USING (n, head, template) WHERE doc_id <> owner),
 kept AS (
   SELECT doc_id, text, string_agg(parts[i], chr(10) ORDER BY i) AS rest
   FROM (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents), unnest(range(1, len(parts) + 1)) AS r(i)
