@@ -43,8 +43,8 @@ MODEL_FEATURES = {
 # Variance below this share of the mean square counts as a constant column,
 # whatever the column's unit.
 CONSTANT_TOL = 1e-10
-# A column of which earlier columns explain all but this share is dropped.
-COLLINEAR_TOL = 1e-10
+# A column of which earlier columns explain all but this share is dropped (the usual tolerance of statistics packages).
+COLLINEAR_TOL = 1e-7
 
 
 def split_column(user_col: str = "user1") -> F.Column:

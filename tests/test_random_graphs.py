@@ -15,10 +15,13 @@ import pytest
 
 from ledgerlens.plans import catalog, oracle
 from ledgerlens.schema import PAYMENT_SCHEMA
-from tools.oracle_check import rows_of
+from tools.oracle_check import close, rows_of
 
 WORDS = ["ring", "plate", "hot", "cold", "gizmo", "rod", "bolt", "gear", "small", "anvil", "blue", "widget"]
 EMOJI = ["🍕", "🎉", "🚗", "⚽", ""]
+# Model 4 has 14 columns and, with 30 users, months of 14 training rows: a fit without a degree
+# of freedom shows the order of summation in its seventh digit.
+FITS = {"mse_series", "model_comparison", "coefficient_table"}
 SKIP = {"read_payments"}  # derives from the TPC-H tables by definition
 
 
@@ -64,4 +67,7 @@ def test_random_log_matches_oracle(spark, case, name, monkeypatch):
     dc, dr = rows_of([d[0] for d in res.description], res.fetchall())
     assert sc == dc
     assert len(sr) == len(dr)
-    assert sr == dr, next(((a, b) for a, b in zip(sr, dr) if a != b), None)
+    if name in FITS:
+        assert all(close(a, b, 1e-5) for a, b in zip(sr, dr)), next(((a, b) for a, b in zip(sr, dr) if not close(a, b, 1e-5)), None)
+    else:
+        assert sr == dr, next(((a, b) for a, b in zip(sr, dr) if a != b), None)
