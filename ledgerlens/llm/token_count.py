@@ -13,18 +13,16 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame
 
 from ledgerlens.llm.common import map_texts
-from ledgerlens.llm.vocabulary import BYTE_PATTERN, SPACE, Memo, Vocabulary, share, vocabulary
+from ledgerlens.llm.vocabulary import SPACE, Memo, Vocabulary, byte_pieces, share, vocabulary
 
 #: chunks remembered by a worker, in each of two generations
 REMEMBERED = 500_000
 #: symbols held in one ragged array
 BATCH_SYMBOLS = 400_000
 
-_pattern = regex.compile(BYTE_PATTERN)
 # White space other than single blanks between two visible characters.
 _loose = re.compile(f"[{SPACE}] | [{SPACE}]|^[{SPACE}]|[{SPACE}]$")
 
@@ -109,7 +107,7 @@ class Counter:
             elif not piece:
                 continue
             elif _loose.search(piece):
-                out += _pattern.findall(piece)
+                out += byte_pieces(piece)
             else:
                 first, *rest = piece.split(" ")
                 out.append(first)
@@ -122,7 +120,7 @@ class Counter:
         size = 0
         done = 0
         for i, chunk in enumerate(fresh):
-            for w in _pattern.findall(chunk):
+            for w in byte_pieces(chunk):
                 raw = w.encode("utf-8", "surrogatepass")
                 words.append(raw)
                 owner.append(i - done)

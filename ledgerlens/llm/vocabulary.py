@@ -10,9 +10,9 @@ import functools
 import hashlib
 import json
 import re
-import unicodedata
 from pathlib import Path
 
+import regex
 from pyspark.sql import SparkSession
 from tokenizers import Regex, normalizers
 
@@ -131,33 +131,54 @@ def share(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-# The word vocabulary's pre-token pattern ('s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+)
-# over a shadow text, in which λ stands for any letter beyond ASCII, ² for a number, ¤ for the rest.
+# Both patterns run over a shadow text, in which λ stands for any letter beyond ASCII, ² for a number,
+# an ideographic space for white space and ¤ for the rest.
+_byte = regex.compile(BYTE_PATTERN)
+# The word vocabulary's pre-token pattern ('s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+).
 _word = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Zλ]+|[0-9²]|[^a-zA-Zλ0-9²]+")
 
 
-_newer = {k: normalizers.Replace(Regex(rf"\p{{{k}}}"), "") for k in "LN"}
 _library_normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+# Letters up to here are composed already, and the library and Python agree on their lower case.
+_composed = re.compile("[\x00-\u024f]*").fullmatch
 
 
-@functools.lru_cache(maxsize=20_000)
-def _stand_in(letter: str) -> str:
-    """Letters newer than Python's Unicode tables are looked up in the tokenizers library's own."""
-    if letter.isascii():
-        return letter
-    kind = unicodedata.category(letter)
-    if kind == "Cn":
-        kind = next((k for k, has in _newer.items() if has.normalize_str(letter) != letter), kind)
-    return {"L": "λ", "N": "²"}.get(kind[0], "¤")
+class Classes(dict):
+    """A table for ``str.translate``: code points beyond ASCII to a stand-in of their class.
+
+    Which are letters, numbers and white space is asked of the tokenizers library, whose
+    Unicode tables are neither Python's nor those of the regex package; a block of
+    code points is looked up when one of them is first met.
+    """
+
+    _kinds = [(normalizers.Replace(Regex(p), ""), s) for p, s in ((r"\p{L}", "λ"), (r"\p{N}", "²"), (r"\s", "\u3000"))]
+
+    def __missing__(self, point: int) -> str:
+        first = point & ~0xFF
+        # halves of surrogate pairs are no characters, and stand for themselves as symbols
+        block = [chr(c) for c in range(max(first, 0x80), first + 0x100) if not 0xD800 <= c <= 0xDFFF]
+        found = dict.fromkeys(range(first, first + 0x100), "¤")
+        found.update((c, chr(c)) for c in range(first, first + 0x100) if c < 0x80)
+        for pattern, stand_in in self._kinds:
+            left = set(pattern.normalize_str("".join(block)))
+            found.update((ord(c), stand_in) for c in block if c not in left)
+        self.update(found)
+        return self[point]
+
+
+CLASSES = Classes()
 
 
 def normal(chunk: str) -> str:
-    """NFC, then lower case letter by letter (no word-final sigma rule)."""
-    if chunk.isascii():
-        return chunk.lower()
-    if not chunk.isprintable():  # maybe letters newer than Python's tables
-        return _library_normal.normalize_str(chunk)
-    return unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+    """NFC, then lower case letter by letter, as the library does it."""
+    return chunk.lower() if _composed(chunk) else _library_normal.normalize_str(chunk)
+
+
+def byte_pieces(text: str) -> list[str]:
+    """Pre-tokens of a text, for the byte-level vocabulary."""
+    if text.isascii():
+        return _byte.findall(text)
+    return [text[m.start() : m.end()] for m in _byte.finditer(text.translate(CLASSES))]
 
 
 def word_pieces(chunk: str) -> list[str]:
@@ -165,8 +186,7 @@ def word_pieces(chunk: str) -> list[str]:
     low = normal(chunk)
     if low.isascii():
         return [low] if low.isalpha() else _word.findall(low)
-    shadow = "".join(map(_stand_in, low))
-    return [low[m.start() : m.end()] for m in _word.finditer(shadow)]
+    return [low[m.start() : m.end()] for m in _word.finditer(low.translate(CLASSES))]
 
 
 def chunks(text: str) -> list[str]:

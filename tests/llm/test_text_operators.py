@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import bpe_codec, language, packing, pii, queries, repetition, token_count
-from ledgerlens.llm.vocabulary import Known, Memo
+from ledgerlens.llm.vocabulary import Known, Memo, vocabulary
 
 SF = "/root/testdata/sf0.001"
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +73,38 @@ def test_known_is_bounded_and_packing_ids_are_the_librarys():
     assert packing.Encoder(Path(path).read_bytes()).ids(texts) == want
 
 
+def _library(path):
+    t = Tokenizer.from_file(path)
+    t.no_truncation()
+    t.no_padding()
+    return lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_every_code_point_beside_contractions_digits_blanks_and_letters_is_as_in_the_library():
+    byte, word = _library(BYTE), _library(WORD)
+    counter = token_count.Counter(vocabulary(Path(BYTE).read_bytes()))
+    voc = vocabulary(Path(WORD).read_bytes())
+    # every one where scripts are mixed; of the long runs of ideographs, syllables, private use and nothing every 41st
+    mixed = [*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x17000), *range(0x18C00, 0x20000)]
+    points = sorted({*mixed, *range(0x3400, 0x110000, 41)} - set(range(0xD800, 0xE000)))
+    texts = [f"{c}'s a{c}'ll {c}1{c} !{c}  {c}" for c in map(chr, points)]
+    assert counter.count(texts) == list(map(len, byte(texts)))
+    assert [bpe_codec.encode_text(t, voc) for t in texts] == word(texts)
+
+
+def test_combining_marks_in_any_order_are_as_in_the_library():
+    marks = [chr(c) for c in range(0x300, 0x1F000) if unicodedata.category(chr(c)).startswith("M") or 0x8C0 <= c < 0x900]
+    texts = [f"{base}{x}{y} {base}{y}{x}'s" for x in marks for base, y in (("a", "\u0301"), ("\u00c5", "\u0323"), ("\u0915", "\u0345"))]
+    rng = random.Random(9)
+    texts += ["".join(rng.choices([*marks, "a", "E", "\u1100", "\u1161", "\u0345", "\u03a3", " ", "'s"], k=12)) for _ in range(20_000)]
+    voc = vocabulary(Path(WORD).read_bytes())
+    assert [bpe_codec.encode_text(t, voc) for t in texts] == _library(WORD)(texts)
+    counter = token_count.Counter(vocabulary(Path(BYTE).read_bytes()))
+    assert counter.count(texts) == list(map(len, _library(BYTE)(texts)))
+    encoder = packing.Encoder(Path(WORD).read_bytes())
+    assert encoder.ids(texts[:5000]) == [array("I", [*ids, 1]).tobytes() for ids in _library(WORD)(texts[:5000])]
+
+
 def test_memo_forgets_rare_and_keeps_asked_for():
     memo = Memo(4)
     for k in range(50):
