@@ -65,6 +65,30 @@ def test_cover_tree_equals_brute_force(spark, block_rows):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
 
 
+def test_cover_tree_rows_that_repeat_an_id_and_vectors_of_other_lengths(spark):
+    near = [1.0, 0.0, 0.01]
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [1.0, 0.0, 0.0]), (2, near), (3, [0.0, 1.0, 0.0]), (4, [1.0, 0.0]), (5, [2.0, 0.0]), (None, near)]
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in _near(spark, rows))
+    assert got == [(0, 0, None, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False)]
+
+
+def _near(spark, rows):
+    return cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+
+
+def test_traversal_starts_at_the_roots_and_prunes_node_pairs():
+    """Clusters of 40 near points: most pairs of points lie under pairs of nodes that are pruned or taken whole."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(50, 32)), 40, axis=0)
+    x += rng.normal(size=x.shape) * np.linspace(0.01, 0.3, len(x))[:, None]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = cover_tree.Tree(np.arange(len(x)), x, cover_tree.build(x))
+    walk = cover_tree.Traversal(tree, tree, 0.95)
+    walk.run()
+    assert (walk.count[0] == ((x @ x.T) >= 0.95).sum(1)).all()
+    assert walk.tested < 0.35 * len(x) ** 2
+
+
 def test_cover_tree_levels_are_nested_and_cover():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 8))
@@ -156,6 +180,28 @@ def test_near_duplicates_find_groups_and_nothing_else(spark):
     assert order_minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_miss_no_link_of_a_table(spark):
+    """All pairs of the distinct texts of a table, passed over only where their words forbid a link."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    texts = {}
+    for r in sorted(rows):
+        if r.text and r.text.split():
+            texts.setdefault(r.text.lower(), r.doc_id)
+    ids, code = np.array(list(texts.values())), {}
+    words = [np.array([code.setdefault(w, len(code)) for w in t.split()]) for t in texts]
+    cells = np.array([np.bincount(w % 1024, minlength=1024) for w in words], np.int32)
+    size = cells.sum(1)
+    links = []
+    for i in range(len(ids)):
+        longer = np.maximum(size[i + 1 :], size[i])
+        near = np.flatnonzero(longer - np.minimum(cells[i + 1 :], cells[i]).sum(1) <= 0.2 * longer + 1e-9) + i + 1
+        for j, linked in zip(near, order_minhash.alignments([(words[i], words[j]) for j in near])):
+            if linked:
+                links.append((ids[i], ids[j]))
+    got = {r.doc_id: r.component_id for r in queries.op2_order_minhash(spark, "/root/testdata/sf0.01").collect()}
+    assert len(links) > 50 and all(got[a] == got[b] for a, b in links)
+
+
 def test_round_two_links_what_the_leader_misses(spark, monkeypatch):
     """A chain whose ends are too far apart still is one group."""
     rng = random.Random(8)
@@ -223,6 +269,35 @@ def test_line_templates_edges(spark):
     assert line_templates.drop_templates(df.limit(0)).count() == 0
 
 
+def _dropped(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = line_templates.drop_templates(df).collect()
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    assert sorted((r.doc_id, r.n_dropped) for r in rows) == sorted((r[0], r[2]) for r in con.execute(line_templates.SQL).fetchall())
+    return {r.doc_id: r.n_dropped for r in rows}
+
+
+def test_a_leaf_holds_several_templates(spark):
+    head = "we hope that you will find this very"
+    other = f"{head} one two three four five six seven eight"
+    same = f"{head} nice offer for you and your dear friends"
+    got = _dropped(spark, [other] + [same] * 38)
+    assert got == {0: 0, 1: 0, **{i: 1 for i in range(2, 39)}}
+    # documents are counted for each template, not for the leaf
+    assert sum(_dropped(spark, [same, same, other, f"{head} a b c d e f g h"]).values()) == 0
+
+
+def test_empty_stretches_fix_nothing(spark):
+    head = "we hope that you will find this very"
+    assert sum(_dropped(spark, [f"{head} {w}" for w in ("nice", "odd", "long", "short")]).values()) == 0
+    assert sum(_dropped(spark, [f"{head} nice"] * 4).values()) == 3
+    assert sum(_dropped(spark, [head] * 4).values()) == 3
+    # two of four stretches vary
+    assert sum(_dropped(spark, [f"{head} a{w} same b{w} again" for w in "pqrs"]).values()) == 3
+    assert sum(_dropped(spark, [f"{head} a{w} c{w} b{w} again" for w in "pqrs"]).values()) == 0
+
+
 def test_line_templates_use_no_python(spark):
     plan = line_templates.drop_templates(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
@@ -286,6 +361,17 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in docs.collect()} == seen[-1]
 
 
+def test_pipeline_stages_keep_columns_that_clash_with_results(spark):
+    rows = [(i, f"this is a text about the number {i}\nand this line is the same in all of them", "en", 0.5, i, i, "x", True) for i in range(6)]
+    names = "doc_id long, text string, lang string, score double, n_lines long, n_dropped long, lang_pred string, ambiguous boolean"
+    docs = spark.createDataFrame(rows, names)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, SF)
+        assert made.columns == docs.columns, name
+        for r in made.collect():
+            assert (r.score, r.n_lines, r.n_dropped, r.lang_pred, r.ambiguous) == (0.5, r.doc_id, r.doc_id, "x", True)
+
+
 def test_pipeline_runs_on_the_tables(spark):
     out = corpus_pipeline.run(spark, SF)
     per = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
