@@ -15,24 +15,40 @@ from ledgerlens.llm.common import col, table
 from ledgerlens.session import materialize
 
 
-def _with_length(docs: DataFrame, columns: list[str]) -> list[F.Column]:
-    """The columns, with ``n_chars`` (where there is one) of the text as it is now."""
-    return [
-        F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else col(c) for c in columns
-    ]
+def _aside(name: str) -> str:
+    return f"__llm_in_{name}"
+
+
+def _apart(docs: DataFrame, *results: str) -> DataFrame:
+    """The table with columns renamed whose names an operator gives to its own results."""
+    return docs.select(*[col(c).alias(_aside(c)) if c in results else col(c) for c in docs.columns])
+
+
+def _again(made: DataFrame, docs: DataFrame, *results: str) -> DataFrame:
+    """The columns of ``docs`` under their own names, with ``n_chars`` (where there is one) of the text as it is now."""
+    fields = []
+    for c in docs.columns:
+        if c == "n_chars":
+            fields.append(F.length("text").cast(docs.schema[c].dataType).alias(c))
+        else:
+            fields.append(col(_aside(c)).alias(c) if c in results else col(c))
+    return made.select(*fields)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose two nearest codewords are about equally near, go."""
-    made = language.predict(docs, language.learn(docs), tuple(c for c in docs.columns if c != "text"), keep_text=True)
-    return made.where((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")).select(*map(col, docs.columns))
+    results = ("lang_pred", "score", "ambiguous")
+    apart = _apart(docs, *results)
+    made = language.predict(apart, language.learn(apart), tuple(c for c in apart.columns if c != "text"), keep_text=True)
+    return _again(made.where((F.col("lang_pred") != language.UNKNOWN) & ~F.col("ambiguous")), docs, *results)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines leave the texts; a document of which no word is left goes."""
-    made = line_templates.drop_templates(docs)
+    results = ("n_lines", "n_dropped")
+    made = line_templates.drop_templates(_apart(docs, *results))
     word = F.col("text").rlike(r"\S")
-    return made.where((F.col("n_dropped") == 0) | word).select(*_with_length(docs, docs.columns))
+    return _again(made.where((F.col("n_dropped") == 0) | word), docs, *results)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +75,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-# Learned models, sketches and the linear program have no SQL; a brute-force version tests the pipeline.
+# Learned models, sketches and the linear program have no SQL; each stage is tested against a plain version.
 ORACLE_SQL = None
 
 
