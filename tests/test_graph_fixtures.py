@@ -221,3 +221,25 @@ def test_hub_grid_bounds_every_key(make_payments):
     for side in (rows, cols):
         assert side.groupBy("via", "_row", "_col").count().agg(F.max("count")).first()[0] < 200
     assert rows.where("via = 0").select("_row", "_col").distinct().count() == 400
+
+
+def test_registered_ranks_settle_whatever_the_number_of_nodes(spark, make_payments, monkeypatch):
+    """A path mixes slowly; the library's tolerance times nodes ends its ranks 100 times further from the settled ones."""
+    import numpy as np
+
+    from ledgerlens.plans import catalog, oracle
+
+    n = 600
+    p = make_payments([(i, i + 1, 0) for i in range(n - 1)])
+    monkeypatch.setattr(catalog, "_p", lambda spark, d: p)
+    adj = np.eye(n, k=1) + np.eye(n, k=-1)
+    m = adj / adj.sum(axis=1, keepdims=True)
+    x = np.full(n, 1 / n)
+    for _ in range(300):
+        x = 0.85 * x @ m + 0.15 / n
+    settled = {r.user1: r.PageRank for r in catalog.q_pagerank(spark, "").collect()}
+    assert sum(abs(settled[i] - x[i]) for i in range(n)) < 1e-5
+    last = {r.user1: r.page_rank for r in catalog.q_pagerank_by_month(spark, "").where("lifetime = 12").collect()}
+    assert sum(abs(last[i] - x[i]) for i in range(n)) < 1e-5
+    for name in ("pagerank", "pagerank_by_month"):
+        assert "* r.n" not in oracle.ORACLE[name]
