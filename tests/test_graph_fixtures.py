@@ -243,3 +243,37 @@ def test_registered_ranks_settle_whatever_the_number_of_nodes(spark, make_paymen
     assert sum(abs(last[i] - x[i]) for i in range(n)) < 1e-5
     for name in ("pagerank", "pagerank_by_month"):
         assert "* r.n" not in oracle.ORACLE[name]
+
+
+def _largest_task(df):
+    from pyspark.sql import functions as F
+
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_a_join_through_users_is_divided_by_what_it_makes(make_payments):
+    """The sides are a few hundred rows, which the planner would put into one task."""
+    from pyspark.sql import functions as F
+
+    p = make_payments([(u, (u + k) % 200, u % 50) for u in range(200) for k in range(1, 6)])
+    g = graph.graph_of(p)
+    left = g.pairs.select("user1", F.col("user2").alias("via"))
+    right = g.pairs.select(F.col("user1").alias("via"), F.col("user2").alias("far"))
+    plain = sorted(map(tuple, left.join(right, "via").select("user1", "via", "far").collect()))
+    for block in (1000, 3):
+        made = graph.join_via(left, right, g.degree, block, task_rows=500)
+        assert sorted(map(tuple, made.select("user1", "via", "far").collect())) == plain
+        assert len(plain) == 20000 and _largest_task(made) <= 2000
+
+
+def test_contacts_steps_are_divided_and_a_wide_contact_is_dealt(spark, make_payments):
+    from pyspark.sql import functions as F
+
+    p = make_payments([(0, u, 0) for u in range(1, 301)] + [(u, u + 1, 1) for u in range(1, 100)])
+    g = graph.graph_of(p)
+    known = graph.two_hop(p).withColumnRenamed("two_hop", "contact").unionByName(g.pairs.select("user1", F.col("user2").alias("contact")))
+    steps = spark.createDataFrame([(c, f"s{c}") for c in range(301)], "contact long, steps string")
+    plain = sorted(map(tuple, known.join(steps, "contact").select("user1", "contact", "steps").collect()))
+    made = features.with_steps(known, steps, g, task_rows=200)
+    assert sorted(map(tuple, made.select("user1", "contact", "steps").collect())) == plain
+    assert _largest_task(made) <= 1500 < len(plain) / 40
