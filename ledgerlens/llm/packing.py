@@ -2,11 +2,12 @@
 
 Documents become pieces of at most ``capacity`` tokens.  Only the histogram of
 piece lengths (at most ``capacity`` numbers, whatever the input) reaches the
-driver.  There the covering program over configurations (multisets of lengths
-that fit one sequence) is solved by multiplicative weights: lengths that are
-covered too little gain weight, and a knapsack dynamic program prices the best
-configuration for the weights.  Rounding takes whole copies of configurations;
-what is left is placed best-fit decreasing, on counts.  The plan maps the r-th
+driver.  There the covering program over configurations (multisets of length classes
+that fit one sequence) is solved by multiplicative weights until every class is
+covered: classes that are covered too little gain weight, and a knapsack dynamic
+program prices the best configuration for the weights.  Rounding takes whole
+copies of configurations and gives their slots real lengths; what does not fill
+a sequence that way is placed best-fit decreasing, on counts.  The plan maps the r-th
 piece of a length to its sequence and offset; pieces are ranked and mapped by
 Spark, hot lengths in parts.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import gc
+import math
 import zlib
 from array import array
 from collections import Counter
@@ -33,8 +35,14 @@ from ledgerlens.session import materialize
 CAPACITY = 4096
 #: id that ends a document
 END = 1
-#: priced configurations
+#: priced configurations after which the step of the program grows
 ROUNDS = 160
+#: classes of lengths that the configurations are priced in, at most about twice so many
+CLASSES = 512
+#: share of a sequence that a configuration made of real lengths may leave empty
+SPARE = 0.00025
+#: times that the program is solved, each for the pieces that the one before left
+PASSES = 2
 #: pieces of one length that are ranked together
 RANK_ROWS = 50_000
 #: chunks, and pre-tokens, remembered by a worker, in each of two generations
@@ -132,28 +140,39 @@ def price(worth: np.ndarray, capacity: int) -> Counter:
     return config
 
 
+def classes(need: np.ndarray, width: int) -> np.ndarray:
+    """Pieces by class: class c holds the lengths above ``(c - 1) * width`` up to ``c * width``."""
+    size = -(-(len(need) - 1) // width)
+    return np.bincount(-(-np.arange(len(need)) // width), need, size + 1).astype(np.int64)
+
+
 def fractional(need: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[Counter, float]]:
-    """Configurations and multiplicities that nearly cover ``need`` (pieces by length).
+    """Configurations and multiplicities that cover ``need`` (pieces by length), all but less than one of each length.
 
     Multiplicative weights: each round prices a configuration for the present
-    weights, uses it as far as one step of the scarcest of its lengths, and
-    lowers the weights of the lengths by what they got.
+    weights, uses it as far as one step of the scarcest of its lengths allows,
+    and lowers the weights of the lengths by what they got.  ``rounds`` sets the
+    step, which grows with every so many rounds, so the program ends covered.
     """
     have = np.flatnonzero(need)
     got = np.zeros(len(need))
     used: dict[tuple, float] = {}
-    step = 0.1
-    for _ in range(rounds):
+    at = 0
+    while True:
+        step = 0.1 * (1 + at // max(rounds, 1))
+        at += 1
         # a length's worth: its tokens, times how far it lags behind
         lag = np.exp(-3.0 * got[have] / need[have])
         worth = np.zeros(len(need))
         worth[have] = have * (0.25 + lag / lag.max())
-        worth[have[got[have] >= need[have]]] = 0
+        worth[have[need[have] - got[have] < 1]] = 0
         if not worth.any():
             break
         config = price(worth, capacity)
-        room = min((need[l] - got[l]) / k for l, k in config.items())
-        times = min(room, max(1.0, step * min(need[l] / k for l, k in config.items()))) if room >= 1 else room
+        # a configuration priced beyond what is left of a length takes what is left
+        config = Counter({l: min(k, int(need[l] - got[l])) for l, k in config.items()})
+        room = min((need[l] - got[l]) // k for l, k in config.items())
+        times = min(room, max(1.0, np.floor(step * min(need[l] / k for l, k in config.items()))))
         for l, k in config.items():
             got[l] += k * times
         key = tuple(sorted(config.items()))
@@ -203,16 +222,50 @@ def best_fit(need: Counter, capacity: int) -> list[tuple[Counter, int]]:
     return [(Counter(dict(p)), n) for entries in bins.values() for p, n in entries]
 
 
+def rounded(plan: list[tuple[Counter, float]], rest: np.ndarray, capacity: int, width: int) -> list[tuple[Counter, int]]:
+    """Whole configurations of real lengths for a plan in classes; what they hold is taken from ``rest``.
+
+    A slot takes the longest piece left that its class and the room that the
+    slots before it saved let in, so classes cost no room.  A sequence that ends
+    more than ``SPARE`` of the capacity short is not made; its pieces stay.
+    """
+    made: list[tuple[Counter, int]] = []
+    left = np.flatnonzero(rest).tolist()
+    for config, x in sorted(plan, key=lambda c: -c[1]):
+        slots = [c for c in sorted(config, reverse=True) for _ in range(config[c])]
+        x = int(x)
+        while x > 0:
+            spare = capacity - width * sum(slots)
+            lengths: Counter = Counter()
+            for c in slots:
+                at = bisect.bisect_right(left, c * width + spare) - 1
+                while at >= 0 and rest[left[at]] <= lengths[left[at]]:
+                    at -= 1
+                if at < 0:
+                    break
+                lengths[left[at]] += 1
+                spare += c * width - left[at]
+            lengths = +lengths
+            if spare > SPARE * capacity or sum(lengths.values()) < len(slots):
+                break
+            times = min(x, min(int(rest[l]) // k for l, k in lengths.items()))
+            made.append((lengths, times))
+            x -= times
+            for l, k in lengths.items():
+                rest[l] -= k * times
+                if not rest[l]:
+                    left.remove(l)
+    return made
+
+
 def solve(need: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Counter, int]]:
     """Whole configurations that hold exactly the pieces of the histogram."""
     rest = need.astype(np.int64).copy()
+    # a divisor of the capacity, so full classes are full sequences
+    width = math.gcd(capacity, max(1, capacity // CLASSES))
     plan: list[tuple[Counter, int]] = []
-    for config, x in sorted(fractional(rest, capacity, rounds), key=lambda c: -c[1]):
-        times = min(int(x + 0.5), min(int(rest[l]) // k for l, k in config.items()))
-        if times:
-            plan.append((config, times))
-            for l, k in config.items():
-                rest[l] -= k * times
+    for _ in range(PASSES):
+        plan += rounded(fractional(classes(rest, width), capacity // width, rounds), rest, capacity, width)
     return plan + best_fit(Counter({int(l): int(rest[l]) for l in np.flatnonzero(rest)}), capacity)
 
 

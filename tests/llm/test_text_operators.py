@@ -294,6 +294,27 @@ def test_packing_plan_is_exact_and_near_the_bound():
         assert sum(n for _, n in plan) <= 1.03 * (need * np.arange(513)).sum() / 512 + 2
 
 
+def test_the_program_covers_every_class_and_its_plan_places_most_tokens():
+    rng = np.random.default_rng(5)
+    need = np.zeros(4097, np.int64)
+    for x in np.minimum(rng.lognormal(6.7, 0.6, 8000), 4095).astype(int):
+        need[x] += 1
+    by_class = packing.classes(need, 8)
+    got = Counter()
+    for config, times in packing.fractional(by_class, 512):
+        assert sum(c * k for c, k in config.items()) <= 512
+        for c, k in config.items():
+            got[c] += k * times
+    assert got == {int(c): int(by_class[c]) for c in np.flatnonzero(by_class)}
+    rest = need.copy()
+    plan = packing.rounded(packing.fractional(by_class, 512), rest, 4096, 8)
+    held = sum(l * k * n for config, n in plan for l, k in config.items())
+    whole = int((need * np.arange(4097)).sum())
+    assert held == whole - (rest * np.arange(4097)).sum() and (rest >= 0).all()
+    assert held > 0.5 * whole
+    assert sum(n for _, n in packing.solve(need)) <= -(-whole // 4096) + 2
+
+
 def test_knapsack_price_is_optimal():
     rng = np.random.default_rng(4)
     for _ in range(30):
