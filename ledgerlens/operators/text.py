@@ -74,7 +74,8 @@ def classify(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """
     dictionary = bounded(dictionary)
     cats = bounded(token_category(dictionary))
-    descs = payments.select("description").where(F.col("description").isNotNull()).distinct()
+    # stored: the planner would move the emoji test below the distinct, to every payment
+    descs = materialize(payments.select("description").where(F.col("description").isNotNull()).distinct(), "descriptions")
     words = descs.select("description", F.explode(F.array_distinct(text_tokens("description"))).alias("token"))
     chars = descs.where(contains_emoji("description")).select(
         "description", F.explode(F.array_distinct(code_points("description"))).alias("token")

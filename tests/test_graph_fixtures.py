@@ -277,3 +277,11 @@ def test_contacts_steps_are_divided_and_a_wide_contact_is_dealt(spark, make_paym
     made = features.with_steps(known, steps, g, task_rows=200)
     assert sorted(map(tuple, made.select("user1", "contact", "steps").collect())) == plain
     assert _largest_task(made) <= 1500 < len(plain) / 40
+
+
+def test_wedges_stream_past_a_hash_of_the_edges(make_payments):
+    """Wedges are many times the edges, so the join that closes triangles must not sort them."""
+    p = make_payments([(a, b, a + b) for a in range(1, 7) for b in range(a + 1, 7)])
+    tri = graph.triangles(p)
+    assert len({(r.user_a, r.user_b, r.user_c) for r in tri.collect()}) == 20
+    assert "ShuffledHashJoin [b" in tri._jdf.queryExecution().executedPlan().toString()

@@ -76,3 +76,11 @@ def test_dictionary_csv_long_form(spark):
     got = sorted(tuple(r) for r in d.collect())
     want = sorted(tuple(r) for r in fixture_dictionary(spark).collect())
     assert got == want
+
+
+def test_emoji_test_runs_per_distinct_description(spark, make_payments):
+    """The descriptions are stored before the emoji test, which would otherwise be moved to every payment."""
+    p = make_payments([(1, 2, d, "🍕 pizza") for d in range(5)] + [(1, 3, 1, "cold")])
+    made = text.classify(p, fixture_dictionary(spark))
+    assert any("/descriptions-" in f for f in made.inputFiles())
+    assert len({r.description for r in made.collect()}) == made.count() <= 2
