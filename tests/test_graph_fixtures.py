@@ -285,3 +285,12 @@ def test_wedges_stream_past_a_hash_of_the_edges(make_payments):
     tri = graph.triangles(p)
     assert len({(r.user_a, r.user_b, r.user_c) for r in tri.collect()}) == 20
     assert "ShuffledHashJoin [b" in tri._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pair_months_are_made_once(make_payments):
+    """Reached and unreached contacts both start from the stored payments per pair and month."""
+    p = make_payments([(A, B, 0), (B, C, 1), (C, D, 40), (A, B, 45)])
+    fof = graph.fof_first_met(p)
+    assert any("/pair-months-" in f for f in fof.inputFiles())
+    got = {(r.user1, r.friend_of_friend): r.lifetime for r in fof.collect()}
+    assert got == {(A, None): 0, (A, C): 1, (C, A): 0, (B, D): 1, (D, B): 0, (B, None): 0}
