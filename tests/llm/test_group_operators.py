@@ -89,6 +89,27 @@ def test_traversal_starts_at_the_roots_and_prunes_node_pairs():
     assert walk.tested < 0.35 * len(x) ** 2
 
 
+def test_cover_tree_wide_nodes_do_not_loosen_the_bound_for_points():
+    """Among bare points and a few wide nodes, few pairs of the matrix are looked at after their product."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[500:510] = x[:10] + rng.normal(size=(10, 48)) * 0.12  # some 0.8 from their centre
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = cover_tree.Tree(np.arange(len(x)), x, cover_tree.build(x))
+    judged = []
+
+    class Counted(cover_tree.Traversal):
+        def judge(self, k, u, *rest):
+            judged.append(len(u))
+            super().judge(k, u, *rest)
+
+    walk = Counted(tree, tree, 0.95)
+    walk.run()
+    assert (walk.count[0] == ((x @ x.T) >= 0.95).sum(1)).all()
+    assert sum(judged) < 0.05 * len(x) ** 2
+
+
 def test_cover_tree_levels_are_nested_and_cover():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 8))
