@@ -99,22 +99,20 @@ def model3_input(payments: DataFrame, ranks: DataFrame | None = None) -> DataFra
     Inner joins, so users who never send (no Y) drop out.
     """
     ranks = page_rank(payments) if ranks is None else ranks
-    friends = cum_friends(payments).select("user1", "lifetime", F.col("cum_num_friends").alias("num_friends"))
-    fof = cum_fof(payments).select(
-        "user1", "lifetime", F.col("cum_num_fnd_of_fnd").alias("num_friends_of_friends")
-    )
-    tri = cum_triangles(payments).select("user1", "lifetime", F.col("cum_num_triangles").alias("num_triangles"))
+    totals = {"num_friends": "cum_num_friends", "num_friends_of_friends": "cum_num_fnd_of_fnd", "num_triangles": "cum_num_triangles"}
+    months = F.sequence(F.lit(0).cast("bigint"), F.lit(MAX_LIFETIME).cast("bigint"))
+    # joined with a row per user, and spread over the months at the end
     return (
-        friends.join(fof, ["user1", "lifetime"])
-        .join(tri, ["user1", "lifetime"])
+        cum_friends(payments, lists=True)
+        .join(cum_fof(payments, lists=True), "user1")
+        .join(cum_triangles(payments, lists=True), "user1")
         .join(first_year_txn(payments), "user1")
         .join(ranks.select("user1", F.col("PageRank").alias("page_rank")), "user1")
+        .select("*", F.explode(months).alias("lifetime"))
         .select(
             "user1",
             "lifetime",
-            "num_friends",
-            "num_friends_of_friends",
-            "num_triangles",
+            *[F.col(total)[F.col("lifetime").cast("int")].alias(name) for name, total in totals.items()],
             "page_rank",
             "num_transaction",
         )

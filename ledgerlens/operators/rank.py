@@ -63,6 +63,7 @@ def pagerank_family(
     max_iter: int = MAX_ITER,
     tol: float | None = TOLERANCE,
     settled: bool = False,
+    nodes: DataFrame | None = None,
 ) -> DataFrame:
     """Ranks of every node in a family of growing graphs, given as ``src, dst, first``.
 
@@ -86,15 +87,16 @@ def pagerank_family(
     buckets by a hash of the destination, and its shares are sent to each
     of those ``s`` buckets.  A hub holding a third of all edges therefore
     never makes one task process a third of the edges per round.
+
+    ``nodes`` (node, d0, …) are the stored out-degrees, counted here if not given.
     """
     spark = edges.sparkSession
     checkpoint_dir(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     months = range(graphs)
-    nodes = materialize(
-        edges.groupBy(F.col("src").alias("node")).agg(*[F.count_if(F.col("first") <= m).alias(f"d{m}") for m in months]),
-        "pagerank-degree",
-    )
+    if nodes is None:
+        degree = edges.groupBy(F.col("src").alias("node")).agg(*[F.count_if(F.col("first") <= m).alias(f"d{m}") for m in months])
+        nodes = materialize(degree, "pagerank-degree")
     last = F.col(f"d{graphs - 1}")
     facts = nodes.agg(
         F.sum(last).alias("edges"),
@@ -170,9 +172,10 @@ def pagerank(
     max_iter: int = MAX_ITER,
     tol: float | None = TOLERANCE,
     settled: bool = False,
+    nodes: DataFrame | None = None,
 ) -> DataFrame:
     """``node, rank`` of a graph given as distinct directed ``src, dst``; no edges give no ranks."""
-    family = pagerank_family(edges.select("src", "dst", F.lit(0).alias("first")), 1, alpha, max_iter, tol, settled)
+    family = pagerank_family(edges.select("src", "dst", F.lit(0).alias("first")), 1, alpha, max_iter, tol, settled, nodes)
     return family.select("node", F.col("r0").alias("rank"))
 
 
@@ -185,7 +188,9 @@ def page_rank(
     payments: DataFrame, max_iter: int = MAX_ITER, tol: float | None = TOLERANCE, settled: bool = False
 ) -> DataFrame:
     """PageRank of every user on the whole-period undirected graph."""
-    return pagerank(undirected_edges(payments), max_iter=max_iter, tol=tol, settled=settled).select(
+    edges = undirected_edges(payments)
+    nodes = graph_of(payments).degree.select(F.col("user1").alias("node"), F.col("num_friends").alias("d0"))
+    return pagerank(edges, max_iter=max_iter, tol=tol, settled=settled, nodes=nodes).select(
         F.col("node").alias("user1"), F.col("rank").alias("PageRank")
     )
 
