@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import lifetime_month, round_share
-from ledgerlens.operators.clock import running_window, sender_spine, with_sender_starts
+from ledgerlens.operators.clock import kept, running_window, sender_spine, with_sender_starts
 from ledgerlens.operators.text import category_counts, payments_with_category
 from ledgerlens.schema import MAX_LIFETIME, PROFILE_COLUMNS
 
@@ -87,6 +87,9 @@ def distinct_categories(payments: DataFrame, dictionary: DataFrame) -> DataFrame
 
 def dynamic_profile(payments: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Per user and active month, one share column per category (absent → 0)."""
+    stored = kept(payments, "dynamic-profile", dictionary)
+    if stored is not None:
+        return stored
     return _pivot(monthly_category_share(payments, dictionary), ["user1", "lifetime"], F.max).fillna(
         0.0, subset=PROFILE_COLUMNS
     )
