@@ -7,7 +7,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import features, graph
+from ledgerlens.operators import features, graph, regress
+from ledgerlens.schema import PROFILE_COLUMNS
 from ledgerlens.session import materialize
 from ledgerlens.sources import fixture_dictionary
 
@@ -65,3 +66,32 @@ def test_paths_of_two_steps_are_shuffled_as_lists(make_payments):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index("Aggregate") < plan.index("Generate explode(fars") < plan.index("RepartitionByExpression"), plan
         assert "LeftAnti" not in plan
+
+
+def _sorted(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+
+
+def test_network_profile_is_the_same_in_slices(spark, make_payments, monkeypatch):
+    plain = _sorted(features.network_profile(make_payments(_rows()), fixture_dictionary(spark)))
+    _sliced(monkeypatch)
+    made = features.network_profile(make_payments(_rows()), fixture_dictionary(spark))
+    assert _sorted(made) == plain and len(plain) > 1000
+    assert len({f.rsplit("/", 2)[1] for f in made.inputFiles() if "/network-profile-" in f}) > 2
+
+
+def test_slices_of_friends_of_friends_count_the_same(make_payments, monkeypatch):
+    plain = _sorted(graph.cum_fof(make_payments(_rows()), lists=True))
+    _sliced(monkeypatch)
+    made = graph.cum_fof(make_payments(_rows()), lists=True)
+    assert any("/fof-months-" in f for f in made.inputFiles())
+    assert _sorted(made) == plain
+    with pytest.raises(ValueError, match="slice"):
+        graph.fof_new(make_payments(_rows()), cut=lambda rows: rows)
+
+
+def test_each_model_is_fitted_and_stored_before_the_next(make_payments):
+    """One plan for all models would keep the shuffles of all panels on disk at once."""
+    panel = features.model1_input(make_payments(_rows()))
+    series = regress.mse_series({1: panel, 2: panel.select("*", *[F.lit(0.5).alias(c) for c in PROFILE_COLUMNS])})
+    assert {"fit-1", "fit-2"} == {f.rsplit("/", 2)[1].rsplit("-", 1)[0] for f in series.inputFiles()}
